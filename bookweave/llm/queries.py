@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import op04_mixing
+from . import op04_mixing, op06_url_filter, op08_exact_topk, op09_token_records
 
 QUERIES = {
     "op4_mixing": op04_mixing.query,
+    "op6_url_filter": op06_url_filter.query,
+    "op8_exact_topk": op08_exact_topk.query,
+    "op9_token_records": op09_token_records.query,
 }
 
 ORACLES = {
     "op4_mixing": op04_mixing.ORACLE,
+    "op6_url_filter": op06_url_filter.ORACLE,
+    "op8_exact_topk": op08_exact_topk.ORACLE,
 }
