@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: A word is a run of characters other than space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: The same six separators, for translate() and for bytes.split(), which splits on exactly these.
@@ -15,6 +17,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,6 +55,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, what: str):
+        ship(spark)
         self.spark, self.root = spark, f"{shared_folder(spark)}/bookweave/{what}-{uuid.uuid4().hex}"
         self._n = 0
         _open.append((spark, self.root))

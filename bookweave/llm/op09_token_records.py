@@ -132,14 +132,14 @@ def write(spark: SparkSession, docs: DataFrame, out: str, *, tokenizer: str, end
     shards = max(2, min(100_000, math.ceil(size / shard_bytes)))
     ordered = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:  # without the 0x0A, which the writer puts
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.kind).tobytes()
         for b in batches:
             ids, texts = [None if pd.isna(i) else int(i) for i in b.doc_id], b.text.tolist()
             for k in range(0, len(ids), 256):
                 part = slice(k, k + 256)
-                yield pd.DataFrame({"record": [frame(pack(i, t + end, enc.wide)) for i, t in zip(ids[part], enc(texts[part]), strict=True)]})
+                yield pd.DataFrame({"record": [frame(pack(i, t + end, enc.wide))[:-1] for i, t in zip(ids[part], enc(texts[part]), strict=True)]})
 
     ordered.mapInPandas(encode, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(out)
 
