@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import op04_mixing, op06_url_filter, op08_exact_topk, op09_token_records
+from . import op01_quality_rules, op04_mixing, op06_url_filter, op08_exact_topk, op09_token_records
 
 QUERIES = {
+    "op1_quality_rules": op01_quality_rules.query,
     "op4_mixing": op04_mixing.query,
     "op6_url_filter": op06_url_filter.query,
     "op8_exact_topk": op08_exact_topk.query,
