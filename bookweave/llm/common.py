@@ -92,3 +92,15 @@ def parallel(spark: SparkSession, df: DataFrame, *, per_core: int = 2) -> DataFr
     """Deal rows out when the input has fewer files than the cluster has cores, as a small table has."""
     cores = spark.sparkContext.defaultParallelism
     return df if len(df.inputFiles()) >= cores else df.repartition(cores * per_core)
+
+
+def bounded(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Broadcast a table that has been written and counted as small enough; larger ones are joined by shuffling."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def pieces(spark: SparkSession, df: DataFrame, per_piece: int) -> int:
+    """In how many pieces to cut what is made from df, by the size Spark knows of it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return least if size > 1 << 55 else max(least, -(-size // per_piece))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op01_quality_rules, op04_mixing, op06_url_filter, op08_exact_topk, op09_token_records
+from . import op01_quality_rules, op04_mixing, op06_url_filter, op08_exact_topk, op09_token_records, op10_jaccard_join
 
 QUERIES = {
     "op1_quality_rules": op01_quality_rules.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_url_filter": op06_url_filter.query,
     "op8_exact_topk": op08_exact_topk.query,
     "op9_token_records": op09_token_records.query,
+    "op10_jaccard_join": op10_jaccard_join.query,
 }
 
 ORACLES = {
