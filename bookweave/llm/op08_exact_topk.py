@@ -2,8 +2,9 @@
 
 The pivot table holds every vector's distances to ``pivots`` fixed vectors. By the triangle inequality the distance of
 query and candidate is at least the largest difference of their entries, so the inner product is at most
-(|q|^2 + |v|^2 - bound^2) / 2. Candidates are evaluated in the order of that bound until the k-th best score exceeds
-all bounds that are left; the result is exact, ties going to the smaller id.
+(|q|^2 + |v|^2 - bound^2) / 2. Candidates that are close in the table form tiles, a tile's bound being the best that
+its range of entries allows; each query evaluates tiles in the order of that bound, as matrix products, until its k-th
+best score exceeds all bounds that are left. The result is exact, ties going to the smaller id.
 
 Queries are handled in blocks of bounded size that are sent to the tasks; each task streams its part of the pivot
 table past them and keeps k candidates per query, and a grouped top-k merges the tasks. Nothing else is collected. The
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, parallel, table
 
 PIVOTS, SAMPLE, BLOCK, SCALE = 32, 2048, 2048, 256
-STEP = 64  # candidates evaluated at first; doubled until the bound stops the search
+TILE = 512
 
 
 def quantised(v, scale: int) -> np.ndarray | None:
@@ -52,11 +53,12 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None] - 2 * (x @ pivots.T), 0))
 
 
-def scores(rows: np.ndarray, q: np.ndarray) -> list[int]:
-    """Exact integer inner products; floats are exact below 2**53."""
-    if np.abs(rows).max(initial=0) * np.abs(q).max(initial=0) * len(q) < 2**53:
-        return (rows @ q).astype("i8").tolist()
-    return [sum(int(a) * int(b) for a, b in zip(r, q, strict=True)) for r in rows]
+def scores(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Exact integer inner products, queries by rows; floats are exact below 2**53."""
+    if np.abs(rows).max(initial=0) * np.abs(q).max(initial=0) * q.shape[1] < 2**53:
+        return q @ rows.T
+    whole = lambda x: np.array([[int(c) for c in r] for r in x], object)
+    return whole(q) @ whole(rows).T
 
 
 class Searcher:
@@ -66,33 +68,44 @@ class Searcher:
         self.ids, self.x, self.dist, self.k = ids, x, dist, k
         self.norm = (x * x).sum(1)
         self.best: list[list[tuple[int, int]]] = [[] for _ in ids]  # (-score, id), sorted
+        self.floor = np.full(len(ids), -np.inf)  # the k-th best score
         self.evaluated = 0
 
     def feed(self, ids: np.ndarray, x: np.ndarray, dist: np.ndarray) -> None:
+        near = dist.argmin(1) if dist.shape[1] else np.zeros(len(ids), "i8")
+        order = np.lexsort((dist[np.arange(len(ids)), near] if dist.shape[1] else near, near))
+        tiles = [order[i : i + TILE] for i in range(0, len(order), TILE)]
         norm = (x * x).sum(1)
-        for i, own in enumerate(self.ids):
-            low = np.zeros(len(ids))
+        bound = np.empty((len(self.ids), len(tiles)))
+        for t, own in enumerate(tiles):
+            low = np.zeros(len(self.ids))
             for p in range(dist.shape[1]):
-                np.maximum(low, np.abs(dist[:, p] - self.dist[i, p]), out=low)
+                d, q = dist[own, p], self.dist[:, p]
+                low = np.maximum(low, np.maximum(d.min() - q, q - d.max()))
+            top = norm[own].max()
             # rounding of the distances must never push a bound below the true score
-            slack = 1e-9 * (norm + self.norm[i]) + 1e-6
-            bound = (norm + self.norm[i] - low * low) / 2 + slack
-            bound[ids == own] = -np.inf
-            best, step, done = self.best[i], STEP, 0
-            floor = -best[-1][0] if len(best) == self.k else -np.inf
-            left = np.flatnonzero((bound >= floor) & (bound > -np.inf))
-            while len(left):
-                if step < len(left):
-                    part = np.argpartition(-bound[left], step)
-                    now, left = left[part[:step]], left[part[step:]]
-                else:
-                    now, left = left, left[:0]
-                self.evaluated += len(now)
-                best = sorted([*best, *zip([-s for s in scores(x[now], self.x[i])], ids[now].tolist(), strict=True)])[: self.k]
-                if len(best) == self.k:
-                    left = left[bound[left] >= -best[-1][0]]
-                step *= 2
-            self.best[i] = best
+            bound[:, t] = (top + self.norm - low * low) / 2 + 1e-9 * (top + self.norm) + 1e-6
+        turn = np.argsort(-bound, axis=1, kind="stable")
+        every = np.arange(len(self.ids))
+        for r in range(len(tiles)):
+            now = turn[:, r]
+            alive = bound[every, now] >= self.floor
+            if not alive.any():
+                break
+            for t in np.unique(now[alive]):
+                self._evaluate(np.flatnonzero(alive & (now == t)), ids[tiles[t]], x[tiles[t]])
+
+    def _evaluate(self, queries: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+        s = scores(self.x[queries], x)
+        self.evaluated += s.size
+        hit = (s >= self.floor[queries][:, None]) & (ids[None] != self.ids[queries][:, None])
+        for i in np.flatnonzero(hit.any(1)):
+            q, at = queries[i], np.flatnonzero(hit[i])
+            if len(at) > 4 * self.k:
+                at = at[np.lexsort((ids[at], -s[i, at]))[: self.k]]
+            self.best[q] = sorted([*self.best[q], *((-int(s[i, j]), int(ids[j])) for j in at)])[: self.k]
+            if len(self.best[q]) == self.k:
+                self.floor[q] = -self.best[q][-1][0]
 
 
 def search(spark: SparkSession, vectors: DataFrame, is_query: Column, *, k: int = 5, scale: int = SCALE, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
