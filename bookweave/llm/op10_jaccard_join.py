@@ -4,14 +4,16 @@ A document's set are its distinct n-word shingles, by 64-bit hash. Two documents
 at least ``num / den``. The join is exact:
 
 1. Documents with equal sets form a class, by a 128-bit fingerprint; only one of a class goes on.
-2. Linked sets x, y with |x| <= |y| differ in at most D = |x| (den - num) / num shingles. Shingles are hashed into D + 1
-   groups, so that at least one group is equal in both. Sizes are banded (D is taken for the top of the band; a set
-   near the lower end also visits the band below), and each (band, group, content) is a key. Equal keys make candidate
-   edges to the smallest document of the key, never all pairs; the connected components of these edges are cells, and
-   linked documents share a cell.
+2. Linked sets x, y with |x| <= |y| differ in at most D = |x| (den - num) / num shingles. Shingles are hashed into D + k
+   groups, so that at least k groups are equal in both. A set with fewer than k poor groups (of ``cut`` shingles or
+   fewer) sends its rich groups only, for one of the equal ones is rich; a set with more sends all. Sizes are banded
+   (D is taken for the top of the band; a set near the lower end also visits the band below), and each (band, group,
+   content) is a key. Equal keys make candidate edges to the smallest document of the key, never all pairs; the
+   connected components of these edges are cells, and linked documents share a cell.
 3. In a cell each document is a point: its shingle counts by hash group. An R-tree over the points bounds the overlap
    with a whole node by the sum of the smaller coordinates; surviving pairs are verified on the sets themselves.
-   Pairs that links already connect are skipped, unless ``every_pair`` asks for all.
+   Pairs that links already connect are skipped, unless ``every_pair`` asks for all. Cells larger than a block are
+   first cut by the points alone into what the bound connects.
 
 The keys of a batch of documents are reduced to one entry per key before they are sent, so a frequent passage or a
 large group of copies sends one entry per batch, not per document. They travel packed, 16 bytes an entry. Cells larger
@@ -25,7 +27,9 @@ their texts count; fewer words than n are one shingle; an empty table gives an e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -39,7 +43,8 @@ from .hashing import STEP, U, mixed, shingles
 RATIO = 1.5  # of neighbouring size bands
 PIECE = 5 << 20  # bytes of stored text whose keys go to one piece
 BLOCK, HUBS = 128, 8
-GROUPS, LEAF = 32, 16  # coordinates of a point, points in a leaf
+POINTS = 2048  # documents of a block when only points are compared
+GROUPS, LEAF = 64, 16  # coordinates of a point, points in a leaf
 EMPTY = U(0x5EED)
 BANDS = [1]
 while BANDS[-1] < 1 << 60:
@@ -47,33 +52,58 @@ while BANDS[-1] < 1 << 60:
 BAND_STARTS = np.array(BANDS, "i8")
 
 
+def layout(hi: int, lo: int, num: int, den: int) -> tuple[int, int, int]:
+    """(D, k, cut) of a band. Any k and cut give exact results; these make sets with k or more poor groups rare."""
+    d, best = hi * (den - num) // num, None
+    for cut in range(3):
+        k = 1
+        for _ in range(12):  # towards the number of poor groups that is rarely exceeded
+            mean = lo / (d + k)
+            poor = (d + k) * math.exp(-mean) * sum(mean**i / math.factorial(i) for i in range(cut + 1))
+            k = min(int(poor + 2 * math.sqrt(poor) + 0.1) + 1, 2 * d + 2)
+        if best is None or k <= max(4, d // 3):
+            best = (d, k, cut)
+    return best
+
+
+@cache
+def layouts(num: int, den: int) -> np.ndarray:
+    return np.array([layout(BANDS[i + 1] - 1, BANDS[i], num, den) if BANDS[i] < 1 << 40 else (0, 1, -1) for i in range(len(BANDS) - 1)], "i8")
+
+
 def keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the sets and, for each key, the index of its set."""
     size = np.array([len(s) for s in sets], "i8")
     band = np.searchsorted(BAND_STARTS, size, "right") - 1
+    table = layouts(num, den)
     found, owners = [], []
     for step in (0, 1):
         own = band - step
         hi = np.where(own >= 0, BAND_STARTS[np.maximum(own, 0) + 1] - 1, 0)
-        d = hi * (den - num) // num
+        d, k, cut = table[np.maximum(own, 0)].T
         use = np.flatnonzero((own >= 0) & (d > 0) & (size > 0) & ((step == 0) | (num * size <= den * hi)))
         if not len(use):
             continue
-        m = (d[use] + 1).astype("u8")
-        base = np.concatenate([[0], np.cumsum(m)[:-1]]).astype("i8")
+        groups = (d + k)[use]
+        base = np.cumsum(groups) - groups
         n = size[use]
         h = np.concatenate([sets[i] for i in use])
-        at = np.repeat(base, n) + (mixed(h + STEP) % np.repeat(m, n)).astype("i8")
+        at = np.repeat(base, n) + (mixed(h + STEP) % np.repeat(groups.astype("u8"), n)).astype("i8")
         order = np.argsort(at, kind="stable")
         at, h = at[order], mixed(h)[order]
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        total = int(m.sum())
-        content = np.full(total, EMPTY, "u8")
+        total = int(groups.sum())
+        content, filled = np.full(total, EMPTY, "u8"), np.zeros(total, "i8")
         content[at[starts]] = np.add.reduceat(h, starts)
-        owner = np.repeat(np.arange(len(use)), m.astype("i8"))
+        filled[at[starts]] = np.diff(np.append(starts, len(h)))
+        owner = np.repeat(np.arange(len(use)), groups)
         group = np.arange(total) - base[owner]
-        found.append(mixed(mixed(content) + STEP * (group.astype("u8") + (own[use][owner].astype("u8") << U(40)))))
-        owners.append(use[owner])
+        key = mixed(mixed(content) + STEP * (group.astype("u8") + (own[use][owner].astype("u8") << U(40))))
+        poor = filled <= cut[use][owner]
+        sure = np.bincount(owner, poor, len(use)) < groups - np.minimum(size, hi)[use] * (den - num) // num
+        send = ~(poor & sure[owner])
+        found.append(key[send])
+        owners.append(use[owner[send]])
     return (np.concatenate(found), np.concatenate(owners)) if found else (np.zeros(0, "u8"), np.zeros(0, "i8"))
 
 
@@ -175,41 +205,58 @@ class RTree:
         return at[keep][np.argsort(-bound[keep], kind="stable")]
 
 
-def linked(nodes: np.ndarray, sets: list[np.ndarray], group: np.ndarray, num: int, den: int, *, every_pair: bool = False) -> list[tuple[int, int]]:
-    """Links among the documents of a block or two. group: what is known to be connected already."""
-    sizes = np.array([len(s) for s in sets], "i8")
-    points = np.stack([np.bincount((s >> U(7)).astype("i8") % GROUPS, minlength=GROUPS) for s in sets])
+def point(shingles: np.ndarray) -> np.ndarray:
+    return np.bincount((shingles >> U(7)).astype("i8") % GROUPS, minlength=GROUPS).astype("i4")
+
+
+def linked(nodes: np.ndarray, points: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray] | None, group: np.ndarray, num: int, den: int, *, every_pair: bool = False) -> list[tuple[int, int]]:
+    """Links among the documents of a block or two; without sets, what the bound allows. group: what is connected already."""
     tree = RTree(points, sizes)
     _, root = np.unique(group, return_inverse=True)
     found = []
-    for i in range(len(sets)):
+    for i in range(len(nodes)):
         for j in tree.near(points[i], sizes[i], num, den):
             if j >= i or not every_pair and root[i] == root[j] or nodes[i] == nodes[j]:
                 continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if den * both >= num * (sizes[i] + sizes[j] - both):
-                found.append((int(nodes[i]), int(nodes[j])))
-                root[root == root[j]] = root[i]
+            if sets is not None:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if den * both < num * (sizes[i] + sizes[j] - both):
+                    continue
+            found.append((int(nodes[i]), int(nodes[j])))
+            root[root == root[j]] = root[i]
     return found
 
 
-def _verify(num: int, den: int, every_pair: bool):
+def _verify(num: int, den: int, *, every_pair: bool = False, by_points: bool = False):
     def verify(f: pd.DataFrame) -> pd.DataFrame:
         f = f.drop_duplicates(["node", "fp1", "fp2"])
-        rows = linked(f.node.to_numpy("i8"), [np.frombuffer(s, "u8") for s in f["set"]], f.group.to_numpy("i8"), num, den, every_pair=every_pair)
+        sets = None if by_points else [np.frombuffer(s, "u8") for s in f["set"]]
+        points = np.stack([np.frombuffer(p, "i4") for p in f.point])
+        rows = linked(f.node.to_numpy("i8"), points, points.sum(1).astype("i8"), sets, f.group.to_numpy("i8"), num, den, every_pair=every_pair)
         return pd.DataFrame(rows, columns=["a", "b"], dtype="i8")
 
     return verify
 
 
+SETS = "doc_id long, cell long, node long, fp1 long, fp2 long, set binary, point binary"
+LINKS = "a long, b long"
+
+
 def _with_sets(n: int):
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.drop(columns="text").assign(set=[shingles([w.lower() for w in byte_words(t)], n).tobytes() for t in b.text])
+            found = [shingles([w.lower() for w in byte_words(t)], n) for t in b.text]
+            yield b.drop(columns="text").assign(set=[s.tobytes() for s in found], point=[point(s).tobytes() for s in found])
 
     return sets
 
 
+def _blocked(scratch: Scratch, rows: DataFrame, block: int) -> DataFrame:
+    """rows with the number of blocks of their cell and their own block; cells of one document go."""
+    counted = scratch.write(rows.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1").withColumn("blocks", F.ceil(F.col("m") / block).cast("int")).drop("m"), "cells")
+    return rows.join(bounded(counted), "cell").withColumn("block", F.pmod(F.xxhash64("doc_id", "fp1"), F.col("blocks")).cast("int"))
+
+
 def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den: int = 10, every_pair: bool = False, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, links): doc_id, n_shingles, fp1, fp2, rep for each row, and verified links (a, b) between reps.
 
@@ -230,55 +277,69 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     cells = components(scratch, found.filter("kind = 1").select("a", "b")).select(F.col("node").alias("doc_id"), F.col("label").alias("cell"))
     # one document of each class in a cell, where a cell has two classes or more
     delegates = known.filter("rep is not null").join(bounded(cells), "doc_id").groupBy("cell", "fp1", "fp2").agg(F.min("doc_id").alias("doc_id"), F.min("rep").alias("node"))
-    delegates = scratch.write(delegates, "delegates")
-    counted = scratch.write(delegates.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "cells")
-    chosen = delegates.join(bounded(counted), "cell").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    chosen = scratch.write(chosen.select("doc_id", "cell", "node", "blocks", "block", "fp1", "fp2"), "chosen")
-    sets = docs.select("doc_id", "text").join(bounded(chosen), "doc_id").mapInPandas(_with_sets(n), "doc_id long, cell long, node long, blocks int, block int, fp1 long, fp2 long, set binary")
-    sets = scratch.write(sets, "sets")
-    verify = _verify(num, den, every_pair)
+    chosen = scratch.write(_blocked(scratch, scratch.write(delegates, "delegates"), BLOCK).select("doc_id", "cell", "node", "fp1", "fp2"), "chosen")
+    sets = scratch.write(docs.select("doc_id", "text").join(bounded(chosen), "doc_id").mapInPandas(_with_sets(n), SETS), "sets")
+    sets = _split(scratch, sets, num, den)
+    verify = _verify(num, den, every_pair=every_pair)
     whole = sets.withColumn("group", F.col("node"))
-    small = whole.filter("blocks = 1").groupBy("cell").applyInPandas(verify, "a long, b long")
+    links = scratch.write(whole.filter("blocks = 1").groupBy("cell").applyInPandas(verify, LINKS), "links")
     large = whole.filter("blocks > 1")
-    links = scratch.write(small, "links")
     if large.isEmpty():
         return known, links
     if every_pair:
-        return known, links.unionAll(_grid(large.withColumn("loose", F.lit(True))).groupBy("cell", "i", "j").applyInPandas(verify, "a long, b long").distinct())
+        pairs = _grid(large.withColumn("loose", F.lit(True))).groupBy("cell", "i", "j").applyInPandas(verify, LINKS).distinct()
+        return known, links.unionAll(scratch.write(pairs, "links"))
     # each block with the cell's hubs
     hubs = scratch.write(_hubs(large), "hubs")
     spread = hubs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(large.columns)
-    first = scratch.write(large.unionAll(spread).groupBy("cell", "block").applyInPandas(verify, "a long, b long"), "links")
+    first = scratch.write(large.unionAll(spread).groupBy("cell", "block").applyInPandas(verify, LINKS), "links")
+    # the label that most documents of a cell have; all others are loose
     group = components(scratch, first).withColumnRenamed("node", "_node")
-    # the label most documents of a cell have; all others are loose
-    labelled = scratch.write(large.drop("group", "set").join(bounded(group), F.col("node") == F.col("_node"), "left").select("doc_id", "cell", "fp1", "fp2", F.coalesce("label", "node").alias("label")), "labelled")
-    main = labelled.groupBy("cell", "label").count().groupBy("cell").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    loose = scratch.write(labelled.join(bounded(scratch.write(main, "main")), "cell").select("doc_id", "fp1", "fp2", "cell", F.col("label").alias("group"), (F.col("label") != F.col("main")).alias("loose")), "loose")
+    labelled = scratch.write(large.select("doc_id", "cell", "node", "fp1", "fp2").join(bounded(group), F.col("node") == F.col("_node"), "left").select("doc_id", "cell", "fp1", "fp2", F.coalesce("label", "node").alias("label")), "labelled")
+    main = scratch.write(labelled.groupBy("cell", "label").count().groupBy("cell").agg(F.max_by("label", F.struct("count", "label")).alias("main")), "main")
+    loose = scratch.write(labelled.join(bounded(main), "cell").select("doc_id", "fp1", "fp2", "cell", F.col("label").alias("group"), (F.col("label") != F.col("main")).alias("loose")), "loose")
     grid = _grid(large.drop("group").join(bounded(loose), ["doc_id", "fp1", "fp2", "cell"]))
-    second = grid.groupBy("cell", "i", "j").applyInPandas(verify, "a long, b long")
+    second = grid.groupBy("cell", "i", "j").applyInPandas(verify, LINKS)
     return known, links.unionAll(first).unionAll(scratch.write(second, "links"))
 
 
+def _split(scratch: Scratch, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """sets with blocks and block, after cells larger than a block are cut into what the bound on the points connects."""
+    blocked = scratch.write(_blocked(scratch, sets.select("doc_id", "cell", "node", "fp1", "fp2"), BLOCK), "blocked")
+    on = ["doc_id", "fp1", "fp2", "cell"]
+    large = blocked.filter("blocks > 1").select(*on)
+    if large.isEmpty():
+        return sets.join(bounded(blocked.drop("node")), on)
+    points = _blocked(scratch, sets.drop("set").join(bounded(large), on), POINTS).withColumn("group", F.col("node")).withColumn("loose", F.lit(True)).withColumn("set", F.lit(None).cast("binary"))
+    near = scratch.write(_grid(points, POINTS).groupBy("cell", "i", "j").applyInPandas(_verify(num, den, by_points=True), LINKS), "near")
+    cut = components(scratch, near).select(F.col("node").alias("_node"), "label")
+    again = sets.drop("set", "point").join(bounded(scratch.write(large, "large")), on, "left_semi").join(bounded(cut), F.col("node") == F.col("_node")).select("doc_id", "fp1", "fp2", "node", F.col("cell").alias("old"), F.col("label").alias("cell"))
+    again = _blocked(scratch, scratch.write(again, "again"), BLOCK).select("doc_id", "fp1", "fp2", "old", "cell", "blocks", "block")
+    settled = blocked.filter("blocks = 1").select("doc_id", "fp1", "fp2", F.col("cell").alias("old"), "cell", "blocks", "block")
+    placed = scratch.write(settled.unionAll(again), "placed")
+    return sets.withColumnRenamed("cell", "old").join(bounded(placed), ["doc_id", "fp1", "fp2", "old"]).drop("old")
+
+
 def _hubs(large: DataFrame) -> DataFrame:
     """The HUBS documents of each large cell with the smallest hashes; partial aggregation keeps HUBS rows per task and cell."""
     order = Window.partitionBy("cell").orderBy(F.xxhash64("doc_id"), "doc_id")
     return large.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= HUBS).drop("_r")
 
 
-def _grid(rows: DataFrame) -> DataFrame:
+def _grid(rows: DataFrame, block: int | None = None) -> DataFrame:
     """Each pair of blocks of a cell of which one at least has loose documents; of two blocks, all their rows meet once.
 
     Loose documents are dealt into blocks of their own, so that a few of them do not open all blocks.
     """
     counts = rows.groupBy("cell").agg(F.sum(F.col("loose").cast("int")).alias("n_loose"))
-    rows = rows.join(counts, "cell").filter("n_loose > 0").withColumn("loose_blocks", F.ceil(F.col("n_loose") / BLOCK).cast("int"))
+    rows = rows.join(counts, "cell").filter("n_loose > 0").withColumn("loose_blocks", F.ceil(F.col("n_loose") / (block or BLOCK)).cast("int"))
     rows = rows.withColumn("own", F.when(F.col("loose"), F.pmod(F.xxhash64("doc_id"), F.col("loose_blocks")).cast("int")).otherwise(F.col("loose_blocks") + F.col("block")))
     # i is a block of loose documents; j any block from i on
     loose = F.sequence(F.lit(0), F.col("loose_blocks") - 1)
     ends = F.transform(loose, lambda i: F.struct(F.least(i, "own").alias("i"), F.greatest(i, F.col("own")).alias("j")))
     more = F.transform(F.sequence(F.lit(0), F.col("loose_blocks") + F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
     pairs = F.explode(F.array_distinct(F.when(F.col("loose"), more).otherwise(ends)))
-    return rows.withColumn("at", pairs).select("cell", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "fp1", "fp2", "set", "group")
+    return rows.withColumn("at", pairs).select("cell", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "fp1", "fp2", "set", "point", "group")
 
 
 def classes(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
