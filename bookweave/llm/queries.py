@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import op01_quality_rules, op04_mixing, op05_substring_dedup, op06_url_filter, op08_exact_topk, op09_token_records, op10_jaccard_join
+from . import op01_quality_rules, op02_sentencepiece, op03_quality_crf, op04_mixing, op05_substring_dedup, op06_url_filter, op08_exact_topk, op09_token_records, op10_jaccard_join
 
 QUERIES = {
     "op1_quality_rules": op01_quality_rules.query,
+    "op2_sentencepiece": op02_sentencepiece.query,
+    "op3_quality_crf": op03_quality_crf.query,
     "op4_mixing": op04_mixing.query,
     "op5_substring_dedup": op05_substring_dedup.query,
     "op6_url_filter": op06_url_filter.query,
