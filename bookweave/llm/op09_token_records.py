@@ -33,7 +33,7 @@ from .common import Scratch, table
 
 MASK_DELTA = 0xA282EAD8
 SHARD_BYTES = 12 << 20
-MEMO, LONGEST = 1 << 20, 64  # words remembered by a worker; longer words are encoded each time
+MEMO, LONGEST = 300_000, 64  # words remembered by a worker; longer words are encoded each time
 HEAD, ID = struct.Struct("<QI"), struct.Struct("<qB")
 AROUND = HEAD.size + 5  # bytes of a frame beside its payload
 INDEX = "shard int, seq int, offset long, length long, doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -75,39 +75,57 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return None if flags & 2 else doc_id, np.frombuffer(payload, "<u4" if flags & 1 else "<u2", offset=ID.size).astype("<u4")
 
 
+class _Memo(dict):
+    """Encodes what it doesn't hold; forgets everything when full."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most = encode, most
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word)
+        if len(word) <= LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder:
-    """Whole-text encoding by the library, with a memo of words.
+    """Whole-text encoding by the library, with memos of words.
 
-    The tokenizer's own pre-tokenisation never joins characters across white space and drops it, so a text's ids are
-    those of its parts between spaces and line feeds; test_op09 holds this against encoding texts as a whole.
+    The tokenizer drops white space and never joins characters across it, so a text's ids are those of its parts
+    between white space. A part that is Latin letters followed by punctuation is in turn the letters, in lower case,
+    and the punctuation: the tokenizer splits there and lower-cases first. Everything else is encoded as it stands.
+    test_op09 holds all this against encoding whole texts.
     """
 
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+    #: What str.split() takes for white space and Unicode doesn't.
+    SEPARATORS = re.compile("[\x1c-\x1f]")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
-        self.memo: dict[str, bytes] = {"": b""}
+        self.pack = "<%dI" if self.wide else "<%dH"
+        self.pieces = _Memo(self._encoded, MEMO)  # letters in lower case, punctuation, and anything else
+        self.parts = _Memo(self._part, MEMO)  # parts as they stand in the text
+
+    def _encoded(self, piece: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids
+        return struct.pack(self.pack % len(ids), *ids)
+
+    def _part(self, part: str) -> bytes:
+        if len(part) <= LONGEST and (m := self.PLAIN.fullmatch(part)):
+            letters, rest = m.groups()
+            return self.pieces[letters.lower()] + self.pieces[rest] if rest else self.pieces[letters.lower()]
+        return self._encoded(part)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-            memo[""] = b""
-        new: set[str] = set()
-        for p in parts:
-            new.update(p)
-        new.difference_update(memo)
-        fresh = list(new)
-        rest = dict(zip(fresh, (np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)), strict=True))
-        memo.update(rest)
-        out = [b"".join(map(memo.__getitem__, p)) for p in parts]
-        for w in fresh:
-            if len(w) > LONGEST:
-                del memo[w]
-        return out
+        of = self.parts.__getitem__
+        return [b"".join(map(of, t.replace("\n", " ").split(" ") if self.SEPARATORS.search(t) else t.split())) for t in (t or "" for t in texts)]
 
 
 _encoders: dict[str, Encoder] = {}
