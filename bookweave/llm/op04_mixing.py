@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, table, word_count
+from .common import Scratch, bounded, table, word_count
 
 BITS, ROUNDS = 12, 3
 BUCKETS = 1 << BITS
@@ -46,9 +46,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], most: float) -> DataFram
     w = (
         w.withColumn("cap_before", F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
         .withColumn("weight_left", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
+        .withColumn("turn", F.row_number().over(by))
         .withColumn("level", (F.sum("source_size").over(everything) - F.col("cap_before")) / F.col("weight_left"))
     )
-    level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(everything)
+    # the first source in that order that the level leaves below its cap
+    level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("turn", "level"))).over(everything)["level"]
     return w.withColumn("target", F.least("cap", F.coalesce(level, F.lit(float("inf"))) * F.col("weight"))).select("source", "source_size", "target")
 
 
@@ -63,7 +65,7 @@ def plan(spark: SparkSession, docs: DataFrame, *, weights: tuple[int, ...] = (1,
     state = scratch.write(goal.withColumn("prefix", F.lit(0).cast("long")).withColumn("under", F.lit(0.0)), "targets")
     for k in range(ROUNDS):
         shift = BITS * (ROUNDS - 1 - k)
-        near = rows if k == 0 else _with(rows, state.select("source", "prefix")).filter(F.shiftright("h", shift + BITS) == F.col("prefix")).select(rows["source"], "size", "h")
+        near = rows if k == 0 else _with(rows, bounded(state.select("source", "prefix"))).filter(F.shiftright("h", shift + BITS) == F.col("prefix")).select(rows["source"], "size", "h")
         bucket = F.shiftright("h", shift)
         counts = near.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("n"))
         running = F.sum("n").over(Window.partitionBy("source").orderBy("bucket"))
@@ -78,22 +80,24 @@ def plan(spark: SparkSession, docs: DataFrame, *, weights: tuple[int, ...] = (1,
             f"edges{k}",
         )
     # the last bucket (equal in all 36 bits) is taken when that ends nearer to the target than leaving it
-    last = _with(rows, state.select("source", "prefix")).filter(F.col("h") == F.col("prefix")).groupBy(rows["source"]).agg(F.sum("size").alias("last"))
+    last = _with(rows, bounded(state.select("source", "prefix"))).filter(F.col("h") == F.col("prefix")).groupBy(rows["source"]).agg(F.sum("size").alias("last"))
     limit = _with(state, last).select(state["source"], "source_size", "target", "whole", (F.col("prefix") + F.when(2 * (F.col("left") - F.col("under")) >= F.col("last"), 1).otherwise(0)).alias("threshold"))
+    limit = bounded(scratch.write(limit, "thresholds"))
     copies = F.col("whole") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
     return _with(rows, limit).select(rows["doc_id"], rows["size"], rows["source"], "source_size", "target", copies.alias("copies"), (copies * rows["size"]).alias("taken"))
 
 
 def _with(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join on source, null equal to null. The right side has a row per source; Spark broadcasts it if its size allows."""
+    """Left join on source, null equal to null. The right side has a row per source, counted before it is broadcast."""
     return left.join(right.withColumnRenamed("source", "_source"), left["source"].eqNullSafe(F.col("_source")), "left").drop("_source")
 
 
 def apply(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each document as many times as plan() takes it, with its own columns."""
-    mix = plan(spark, docs, **how).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    joined = docs.join(mix.withColumnRenamed("doc_id", "_id"), docs["doc_id"].eqNullSafe(F.col("_id")))
-    return joined.filter(F.col("_copies") > 0).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+    scratch = Scratch(spark, "mixing")
+    mix = plan(spark, docs, scratch=scratch, **how).groupBy("doc_id").agg(F.max("copies").alias("_copies")).filter("_copies > 0")
+    mix = scratch.write(mix.withColumnRenamed("doc_id", "_id"), "copies")
+    return docs.join(bounded(mix), docs["doc_id"].eqNullSafe(F.col("_id"))).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,9 +111,9 @@ WITH RECURSIVE d AS (
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS rk FROM d GROUP BY source),
 w AS (SELECT *, ((rk - 1) % 3 + 1)::DOUBLE AS weight, source_size * 3.0::DOUBLE AS cap FROM s),
 o AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS cap_before, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS weight_left,
-             sum(source_size) OVER () AS everything FROM w
+             sum(source_size) OVER () AS everything, row_number() OVER (ORDER BY cap / weight, rk) AS turn FROM w
       WINDOW b AS (ORDER BY cap / weight, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-l AS (SELECT min((everything - cap_before) / weight_left) FILTER (WHERE (everything - cap_before) / weight_left * weight <= cap) AS level FROM o),
+l AS (SELECT arg_min((everything - cap_before) / weight_left, turn) FILTER (WHERE (everything - cap_before) / weight_left * weight <= cap) AS level FROM o),
 g AS (SELECT source, source_size, least(cap, level * weight) AS target FROM o, l),
 c AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size) END AS whole FROM g),
 b AS (SELECT d.*, c.source_size, c.target, c.whole, greatest(c.target - c.whole * c.source_size, 0) AS budget,
