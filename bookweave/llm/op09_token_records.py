@@ -18,6 +18,7 @@ rows are separate records; equal doc_ids are ordered by text; an empty table giv
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import struct
@@ -33,7 +34,7 @@ from .common import Scratch, table
 
 MASK_DELTA = 0xA282EAD8
 SHARD_BYTES = 12 << 20
-MEMO, LONGEST = 300_000, 64  # words remembered by a worker; longer words are encoded each time
+MEMO, LONGEST = 250_000, 64  # words remembered by a worker; longer words are encoded each time
 HEAD, ID = struct.Struct("<QI"), struct.Struct("<qB")
 AROUND = HEAD.size + 5  # bytes of a frame beside its payload
 INDEX = "shard int, seq int, offset long, length long, doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -76,56 +77,61 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 
 class _Memo(dict):
-    """Encodes what it doesn't hold; forgets everything when full."""
+    """Encodes what it doesn't hold. When full, its entries become the older generation, from which those still in use return."""
 
     def __init__(self, encode, most: int):
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= LONGEST:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
 
 class Encoder:
-    """Whole-text encoding by the library, with memos of words.
+    """Whole-text encoding by the library, with a memo of words.
 
-    The tokenizer drops white space and never joins characters across it, so a text's ids are those of its parts
-    between white space. A part that is Latin letters followed by punctuation is in turn the letters, in lower case,
-    and the punctuation: the tokenizer splits there and lower-cases first. Everything else is encoded as it stands.
-    test_op09 holds all this against encoding whole texts.
+    A tokenizer that normalises to lower-case NFC, splits by the pattern below and drops white space treats each match by
+    itself, so in a text of ASCII and Latin-1 letters (which NFC and lower-casing leave alone, one by one) matches can be
+    looked up or go to its model directly. Other texts, those with special tokens, and all texts of other tokenizers are
+    encoded as a whole. test_op09 holds both ways against each other.
     """
 
-    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
-    #: What str.split() takes for white space and Unicode doesn't.
-    SEPARATORS = re.compile("[\x1c-\x1f]")
+    #: The tokenizer file's split pattern, and the same over the letters and digits of such texts.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    MATCHES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+").findall
+    OTHER = re.compile("[^\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|").search
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
         self.pack = "<%dI" if self.wide else "<%dH"
-        self.pieces = _Memo(self._encoded, MEMO)  # letters in lower case, punctuation, and anything else
-        self.parts = _Memo(self._part, MEMO)  # parts as they stand in the text
-
-    def _encoded(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids
+        made = json.loads(self.tokenizer.to_str())
+        normal, split = json.dumps(made["normalizer"]), json.dumps(made["pre_tokenizer"])
+        special = all(t["content"].startswith("<|") for t in made["added_tokens"])
+        self.by_word = special and made["model"]["type"] == "BPE" and all(x in normal for x in ('"NFC"', '"Lowercase"')) and all(x in split for x in ('"Removed"', '"ByteLevel"', json.dumps(self.PATTERN)))
+        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.words = _Memo(self._word, MEMO)
+
+    def _word(self, word: str) -> bytes:
+        ids = [t.id for t in self.tokenizer.model.tokenize(word if word.isascii() and word.isalpha() else self.byte_level(word)[0][0])]
         return struct.pack(self.pack % len(ids), *ids)
 
-    def _part(self, part: str) -> bytes:
-        if len(part) <= LONGEST and (m := self.PLAIN.fullmatch(part)):
-            letters, rest = m.groups()
-            return self.pieces[letters.lower()] + self.pieces[rest] if rest else self.pieces[letters.lower()]
-        return self._encoded(part)
-
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        of = self.parts.__getitem__
-        return [b"".join(map(of, t.replace("\n", " ").split(" ") if self.SEPARATORS.search(t) else t.split())) for t in (t or "" for t in texts)]
+        of, plain = self.words.__getitem__, self.by_word
+        return [b"".join(map(of, self.MATCHES(t.lower()))) if plain and not self.OTHER(t) else self._whole(t) for t in (t or "" for t in texts)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
 
 
 _encoders: dict[str, Encoder] = {}
