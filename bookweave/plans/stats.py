@@ -1,0 +1,115 @@
+"""Collection statistics: tidy frames (section, caption, value, extra), one aggregate per question, never one per bucket."""
+
+from __future__ import annotations
+
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..schemas import HAS_TEXT_TOKENS, PD_ACCESS, PD_CODES
+
+
+def edges(low: int, high: int, bins: int = 16) -> list[int]:
+    """0, then log-spaced edges rounded half to even to one significant digit; small collections repeat some."""
+    out = [0]
+    for k in range(bins):
+        x = 10 ** (math.log10(low) + (math.log10(high) - math.log10(low)) * k / (bins - 1))
+        unit = 10 ** math.floor(math.log10(x))
+        out.append(int(round(x / unit) * unit))
+    return out
+
+
+def histogram(values: DataFrame, c: str, low: int) -> DataFrame:
+    """start, end, n of half-open bins, empty ones included; the maximum may fall outside, as rounding has it.
+
+    One pass for the maximum, one that counts all bins.
+    """
+    high = values.agg(F.max(c)).first()[0] or low
+    e = edges(low, max(high, low))
+    pairs = list(zip(e, e[1:], strict=False))
+    counts = values.agg(*(F.count_if((F.col(c) >= a) & (F.col(c) < b)).alias(f"n{i}") for i, (a, b) in enumerate(pairs)))
+    rows = F.array(*(F.struct(F.lit(i).alias("bin"), F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("end"), F.col(f"n{i}").alias("n")) for i, (a, b) in enumerate(pairs)))
+    return counts.select(F.explode(rows).alias("x")).select("x.*")
+
+
+def captioned(df: DataFrame, **columns: Column) -> DataFrame:
+    """One row of aggregates as (caption, value) rows."""
+    agg = df.agg(*(c.cast("double").alias(k) for k, c in columns.items()))
+    return agg.select(F.explode(F.array(*(F.struct(F.lit(k).alias("caption"), F.col(k).alias("value")) for k in columns))).alias("x")).select("x.*")
+
+
+def count_by(df: DataFrame, c: str) -> DataFrame:
+    return df.groupBy(F.col(c).alias("caption")).agg(F.count("*").alias("value"))
+
+
+def top(df: DataFrame, c: str, n: int = 50) -> DataFrame:
+    return count_by(df.filter(F.col(c).isNotNull()), c).orderBy(F.desc("value"), "caption").limit(n)
+
+
+def books(t: DataFrame) -> DataFrame:
+    """t: a row per book with pages and tokens."""
+    return captioned(t, total=F.count("*"), with_scans=F.count_if(F.col("pages") > 0), with_text=F.count_if(F.col("tokens") > HAS_TEXT_TOKENS))
+
+
+def rights(t: DataFrame) -> DataFrame:
+    """t: a row per book with htid, rights_code, us_rights_string, pages, tokens."""
+    pd = F.coalesce(F.col("rights_code").isin(*PD_CODES) & (F.col("us_rights_string") == PD_ACCESS), F.lit(False))
+    return captioned(
+        t, matched=F.count("htid"), without_code=F.count_if(F.col("rights_code").isNull()), open_access=F.count_if(pd), open_with_scans=F.count_if(pd & (F.col("pages") > 0)), open_with_text=F.count_if(pd & (F.col("tokens") > HAS_TEXT_TOKENS))
+    )
+
+
+def years(t: DataFrame) -> DataFrame:
+    """Known: before 2025. Unknown: null only; later years are neither."""
+    return captioned(t, known=F.count_if(F.col("year") < 2025), unknown=F.count_if(F.col("year").isNull()))
+
+
+def by_century(t: DataFrame) -> DataFrame:
+    return count_by(t.filter((F.col("year") < 2030) & (F.col("century") != 0) & (F.col("century") <= 2000)), "century")
+
+
+def by_decade(t: DataFrame) -> DataFrame:
+    return count_by(t.filter((F.col("decade") != 0) & (F.col("decade") <= 2020)), "decade")
+
+
+def quality_by_decade(years: DataFrame, quality: DataFrame) -> DataFrame:
+    """Decades come from the year table; a decade without scores has nulls. One grouped join, not a query per decade."""
+    d = years.filter((F.col("decade") != 0) & (F.col("decade") <= 2020)).select("barcode", "decade").join(quality, "barcode", "left")
+    return d.groupBy("decade").agg(F.avg("from_metadata").alias("mean_metadata"), F.avg("from_detection").alias("mean_detection"))
+
+
+def dedup(hashes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Books with a fingerprint, different ones, members and number of groups, and what is left of the texts."""
+    h = hashes.agg(F.count("hash").alias("with_hash"), F.countDistinct("hash").alias("unique_hashes"))
+    g = groups.agg(F.count("*").alias("members"), F.countDistinct("hash").alias("groups"))
+    return h.crossJoin(g).withColumn("unique_texts", F.col("with_hash") - F.col("members") + F.col("groups"))  # one row each
+
+
+COMPARED = ("tokenizability", "word_count", "bigram_count", "trigram_count", "sentence_count")
+
+
+def compared(src: DataFrame, gen: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Means of source and processed text metrics by language or decade. groups: barcode and key."""
+    pick = lambda t, s: t.select("barcode", *(F.col(c).alias(f"{c}_{s}") for c in COMPARED))
+    d = groups.filter(F.col(key).isNotNull()).join(pick(src, "src"), "barcode").join(pick(gen, "gen"), "barcode")
+    return d.groupBy(key).agg(*(F.avg(f"{c}_{s}").alias(f"{c}_{s}") for c in COMPARED for s in ("src", "gen")))
+
+
+def line_types(processed: DataFrame) -> DataFrame:
+    """Lines by type over all books' statistics."""
+    return processed.select(F.explode("stats").alias("caption", "n")).groupBy("caption").agg(F.sum("n").cast("long").alias("value"))
+
+
+def set_counts(lines: DataFrame, types: tuple[str, ...], sets: tuple[str, ...] = ("train", "test")) -> DataFrame:
+    """Counts for every type and set, zeros included: types x sets conditional counts in one pass."""
+    counts = lines.agg(*(F.count_if((F.col("target_type") == t) & (F.col("set") == s)).alias(f"{t}/{s}") for t in types for s in sets))
+    rows = F.array(*(F.struct(F.lit(t).alias("target_type"), F.lit(s).alias("set"), F.col(f"`{t}/{s}`").alias("n")) for t in types for s in sets))
+    return counts.select(F.explode(rows).alias("x")).select("x.*")
+
+
+def sheet(sections: dict[str, DataFrame]) -> DataFrame:
+    """All sections in one tidy frame, in order."""
+    tidy = [d.select(F.lit(i).alias("ord"), F.lit(name).alias("section"), F.col("caption").cast("string"), F.col("value").cast("double"), (F.col("extra") if "extra" in d.columns else F.lit(None)).cast("string").alias("extra")) for i, (name, d) in enumerate(sections.items())]
+    return reduce(DataFrame.unionByName, tidy)
