@@ -5,8 +5,12 @@ from __future__ import annotations
 import atexit
 import uuid
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ship
 
@@ -104,3 +108,34 @@ def pieces(spark: SparkSession, df: DataFrame, per_piece: int) -> int:
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return least if size > 1 << 55 else max(least, -(-size // per_piece))
+
+
+def map_rows(df: DataFrame, compute: Callable[[pa.RecordBatch], dict], fields: str, *, drop: tuple[str, ...] = (), step: int = 512) -> DataFrame:
+    """df with new columns that compute() makes of ``step`` rows at a time, without those in ``drop``.
+
+    The other columns pass through as Arrow arrays, so nulls and large integers stay what they are. Instead of a new
+    column, compute() may return "keep", a list of booleans: the rows to keep.
+    """
+    new = T._parse_datatype_string(fields).fields if fields else []
+    rest = [f for f in df.schema if f.name not in {*drop, *(n.name for n in new)}]
+    names = [f.name for f in rest]
+    kinds = {n.name: _arrow(n.dataType) for n in new}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, step):
+                part = b.slice(k, step)
+                made = compute(part)
+                arrays = [part.column(n) for n in names] + [pa.array(made[n], t) for n, t in kinds.items()]
+                out = pa.RecordBatch.from_arrays(arrays, names=[*names, *kinds])
+                yield out.filter(pa.array(made["keep"], pa.bool_())) if "keep" in made else out
+
+    return df.mapInArrow(run, T.StructType([*rest, *new]))
+
+
+def _arrow(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return pa.struct([(f.name, _arrow(f.dataType)) for f in kind])
+    return {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}[kind.simpleString()]

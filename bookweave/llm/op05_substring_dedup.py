@@ -36,14 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
-from .common import Scratch, byte_words, parallel, pieces, table
+from .common import Scratch, byte_words, map_rows, parallel, pieces, table
 from .hashing import U, runs, word_ids
 
 WINDOW, ANCHOR = 20, 8
-PIECE = 5 << 20
+PIECE = 3 << 20
 CODE = 6  # bytes of a word within a segment
 LAST = (1 << 63) - 1  # stands for a null doc_id
-SENT = "kind int, piece int, doc long, pack binary"
+SENT = "kind int, piece int, doc long, value long, pack binary"
 HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])
 MET = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("at", "<i4")])
 CHUNK = 1 << 20  # words handled at a time
@@ -81,8 +81,19 @@ def _chunks(texts: list, docs: np.ndarray) -> Iterator[tuple[list[int], np.ndarr
             rows, ids, n = [], [], 0
 
 
-def _frame(kind: int, pack: list[bytes], piece=0, doc=0) -> pd.DataFrame:
-    return pd.DataFrame({"kind": np.full(len(pack), kind, "i4"), "piece": np.broadcast_to(np.asarray(piece, "i4"), len(pack)), "doc": np.broadcast_to(np.asarray(doc, "i8"), len(pack)), "pack": pack})
+def _packs(pack: list[bytes], piece: list[int]) -> pd.DataFrame:
+    """Rows of kind 2: packed entries for a piece."""
+    none = np.zeros(len(pack), "i8")
+    return pd.DataFrame({"kind": np.full(len(pack), 2, "i4"), "piece": np.array(piece, "i4"), "doc": none, "value": none, "pack": pack})
+
+
+def _facts(doc: np.ndarray, value: np.ndarray, pieces: int = 1) -> pd.DataFrame:
+    """Rows of kind 1: one thing known of a document each."""
+    return pd.DataFrame({"kind": np.ones(len(doc), "i4"), "piece": (doc % pieces).astype("i4"), "doc": doc, "value": value.astype("i8"), "pack": np.full(len(doc), None, object)})
+
+
+def _span(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return first << 32 | last
 
 
 def _by(key: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
@@ -93,13 +104,6 @@ def _by(key: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, tuple[np.nd
         yield key[a].item(), tuple(v[order[a:b]] for v in values)
 
 
-def _per_doc(doc: np.ndarray, values: np.ndarray, pieces: int) -> pd.DataFrame:
-    """Rows of kind 1: what is known of a document, as one array."""
-    found = [(d, np.ascontiguousarray(v).tobytes()) for d, (v,) in _by(doc, values)]
-    docs = np.array([d for d, _ in found], "i8")
-    return _frame(1, [p for _, p in found], (docs % pieces), docs)
-
-
 def _anchored(window: int, pieces: int):
     """Documents' anchors, packed by piece (kind 2), and the ones that a batch itself repeats, by document (kind 1)."""
 
@@ -119,16 +123,16 @@ def _anchored(window: int, pieces: int):
                 head = np.concatenate([[True], key[1:] != key[:-1]])
                 again = ~head | np.append(~head[1:], False)
                 if again.any():
-                    yield _per_doc(own[again], at[again].astype("<i4"), pieces)
+                    yield _facts(own[again], at[again], pieces)
                 met = np.empty(int(head.sum()), MET)
                 met["anchor"], met["doc"], met["at"] = key[head] << U(1) | again[head].astype("u8"), own[head], at[head]
                 found = [(p, m.tobytes()) for p, (m,) in _by((key[head] % U(pieces)).astype("i8"), met)]
-                yield _frame(2, [m for _, m in found], [p for p, _ in found])
+                yield _packs([m for _, m in found], [p for p, _ in found])
 
     return send
 
 
-def _repeated(pieces: int):
+def _repeated():
     """A piece of the anchors: positions of those that occur again, by document."""
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
@@ -142,7 +146,7 @@ def _repeated(pieces: int):
         group = np.cumsum(head) - 1
         many = (np.bincount(group) > 1) | (np.bincount(group, known) > 0)
         out = met[many[group] & (known == 0)]
-        return pd.concat([rest, _per_doc(out["doc"], out["at"], pieces)]) if len(out) else rest
+        return pd.concat([rest, _facts(out["doc"], out["at"])]) if len(out) else rest
 
     return meet
 
@@ -157,7 +161,7 @@ def _segmented(window: int, pieces: int):
             for rows, ids, row, base in _chunks(texts, docs):
                 first, last, at, anchor = segments(ids, row, window)
                 own = row[first]
-                places = [np.frombuffer(b"".join(known[i]), "<i4") + base[k] for k, i in enumerate(rows)]
+                places = [known[i] + base[k] for k, i in enumerate(rows)]
                 use = np.flatnonzero(np.isin(at, np.concatenate(places)))
                 code = np.ascontiguousarray(ids[:, None].view("u1")[:, :CODE])
                 seen: set[bytes] = set()
@@ -172,11 +176,11 @@ def _segmented(window: int, pieces: int):
                         words.append(w)
                 if gone:
                     g = np.array(gone, "i8")
-                    yield _per_doc(g[:, 0], g[:, 1:].astype("<i4"), pieces)
+                    yield _facts(g[:, 0], _span(g[:, 1], g[:, 2]), pieces)
                 if heads:
                     h = np.array(heads, HEAD)
                     found = [(p, np.int64(len(i)).tobytes() + h[i].tobytes() + b"".join(words[k] for k in i)) for p, (i,) in _by((h["anchor"] % U(pieces)).astype("i8"), np.arange(len(h)))]
-                    yield _frame(2, [m for _, m in found], [p for p, _ in found])
+                    yield _packs([m for _, m in found], [p for p, _ in found])
 
     return send
 
@@ -207,7 +211,7 @@ def repeats(found: list[tuple[int, int, bytes]], window: int) -> list[tuple[int,
     return out
 
 
-def _matched(window: int, pieces: int):
+def _matched(window: int):
     """A shard: all segments of its anchors; repeated windows by document."""
 
     def match(f: pd.DataFrame) -> pd.DataFrame:
@@ -223,78 +227,84 @@ def _matched(window: int, pieces: int):
         if not gone:
             return rest
         g = np.array(gone, "i8")
-        return pd.concat([rest, _per_doc(g[:, 0], g[:, 1:].astype("<i4"), pieces)])
+        return pd.concat([rest, _facts(g[:, 0], _span(g[:, 1], g[:, 2]))])
 
     return match
 
 
-def removed(packs, n: int, window: int) -> np.ndarray:
+def removed(spans: np.ndarray | None, n: int, window: int) -> np.ndarray:
     """Which of a document's n words are covered by its repeated windows."""
     change = np.zeros(n + window + 1, "i8")
-    if packs is not None and len(packs):
-        spans = np.frombuffer(b"".join(packs), "<i4").reshape(-1, 2)
-        spans = spans[spans[:, 1] + window <= n]
-        np.add.at(change, spans[:, 0], 1)
-        np.add.at(change, spans[:, 1] + window, -1)
+    if spans is not None and len(spans):
+        first, end = spans >> 32, (spans & 0xFFFFFFFF) + window
+        inside = end <= n
+        np.add.at(change, first[inside], 1)
+        np.add.at(change, end[inside], -1)
     return np.cumsum(change)[:n] > 0
 
 
 def spans(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
-    """doc (doc_id, or LAST for null) and gone: packed pairs (first, last) of the starts of repeated windows."""
+    """doc (doc_id, or LAST for null) and gone: first << 32 | last of each run of repeated windows, by their starts."""
     scratch = Scratch(spark, "substrings")
     texts = parallel(spark, docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text"))
     n = pieces(spark, docs, PIECE)
-    anchors = texts.mapInPandas(_anchored(window, n), SENT).groupBy("piece").applyInPandas(_repeated(n), SENT)
-    places = scratch.write(anchors.select("doc", "pack"), "anchors").groupBy("doc").agg(F.collect_list("pack").alias("at"))
-    cut = texts.join(places.hint("shuffle_merge"), "doc").mapInPandas(_segmented(window, n), SENT).groupBy("piece").applyInPandas(_matched(window, n), SENT)
-    gone = scratch.write(cut.select("doc", "pack"), "repeats")
-    return gone.groupBy("doc").agg(F.collect_list("pack").alias("gone"))
+    anchors = texts.mapInPandas(_anchored(window, n), SENT).groupBy("piece").applyInPandas(_repeated(), SENT)
+    places = scratch.write(anchors.select("doc", "value"), "anchors").groupBy("doc").agg(F.collect_list("value").alias("at"))
+    cut = texts.join(places.hint("shuffle_merge"), "doc").mapInPandas(_segmented(window, n), SENT).groupBy("piece").applyInPandas(_matched(window), SENT)
+    gone = scratch.write(cut.select("doc", "value"), "repeats")
+    return gone.groupBy("doc").agg(F.collect_list("value").alias("gone"))
+
+
+SPANS = "__spans"  # a name that no table has
 
 
 def _joined(spark: SparkSession, docs: DataFrame, window: int) -> DataFrame:
-    found = spans(spark, docs, window=window)
-    return docs.withColumn("_doc", F.coalesce("doc_id", F.lit(LAST))).join(found.withColumnRenamed("doc", "_key"), F.col("_doc") == F.col("_key"), "left").drop("_doc", "_key")
+    found = spans(spark, docs, window=window).withColumnsRenamed({"doc": "__key", "gone": SPANS})
+    return docs.join(found, F.coalesce(docs["doc_id"], F.lit(LAST)) == F.col("__key"), "left").drop("__key")
+
+
+def _spans(part) -> list[np.ndarray | None]:
+    return [None if x is None else np.array(x, "i8") for x in part.column(SPANS).to_pylist()]
 
 
 def digest(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
 
-    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for text, packs in zip(b.text, b.gone, strict=True):
-                words = byte_words(text)
-                out = removed(packs, len(words), window)
-                kept = [w for w, x in zip(words, out.tolist(), strict=True) if not x] if out.any() else words
-                rows.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"]).assign(doc_id=pd.array(b.doc_id, "Int64"))
+    def summed(part) -> dict:
+        out = {"n_words": [], "n_removed": [], "kept_sha256": []}
+        for text, gone in zip(part.column("text").to_pylist(), _spans(part), strict=True):
+            words = byte_words(text)
+            mask = removed(gone, len(words), window)
+            kept = [w for w, x in zip(words, mask.tolist(), strict=True) if not x] if mask.any() else words
+            for values, x in zip(out.values(), (len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()), strict=True):
+                values.append(x)
+        return out
 
-    return _joined(spark, docs.select("doc_id", "text"), window).mapInPandas(summed, "n_words long, n_removed long, kept_sha256 string, doc_id long").select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return map_rows(_joined(spark, docs.select("doc_id", "text"), window), summed, "n_words long, n_removed long, kept_sha256 string", drop=("text", SPANS))
 
 
 TOKEN = re.compile(rb"[ \t-\r]*[^ \t-\r]+")
 
 
-def cut_text(text: str | None, packs, window: int) -> str | None:
+def cut_text(text: str | None, gone: np.ndarray | None, window: int) -> str | None:
     """The text without its repeated words, each kept word with the white space before it."""
-    if text is None or packs is None or not len(packs):
+    if text is None or gone is None:
         return text
     parts = TOKEN.findall(text.encode("utf-8", "surrogatepass"))
-    out = removed(packs, len(parts), window)
-    return b"".join(p for p, x in zip(parts, out.tolist(), strict=True) if not x).decode("utf-8", "surrogatepass").lstrip(" \t\n\x0b\x0c\r")
+    mask = removed(gone, len(parts), window)
+    return b"".join(p for p, x in zip(parts, mask.tolist(), strict=True) if not x).decode("utf-8", "surrogatepass").lstrip(" \t\n\x0b\x0c\r")
 
 
 def apply(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """docs with the repeated spans cut out of text; n_chars, where there is one, follows."""
-    cols = docs.columns
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b["text"] = [cut_text(t, g, window) for t, g in zip(b.text, b.gone, strict=True)]
-            yield b[cols]
+    def cut(part) -> dict:
+        return {"__cut": [cut_text(t, g, window) for t, g in zip(part.column("text").to_pylist(), _spans(part), strict=True)]}
 
-    out = _joined(spark, docs, window).mapInPandas(cut, docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in cols else out
+    out = map_rows(_joined(spark, docs, window), cut, "__cut string", drop=("text", SPANS)).withColumnRenamed("__cut", "text")
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
