@@ -17,15 +17,13 @@ and kept by keep().
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import parallel, table
+from .common import map_rows, parallel, table
 
 SAMPLE, THRESHOLD = 3000, 0.3
 LOWER, UPPER, DIGIT, BLANK, STOP, BANG, SYMBOL, OTHER = range(8)
@@ -217,27 +215,14 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Crf |
 
 def score(spark: SparkSession, docs: DataFrame, crf: Crf | None) -> DataFrame:
     """doc_id and score."""
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for k in range(0, len(b), 1024):
-                part = b.iloc[k : k + 1024]
-                yield pd.DataFrame({"doc_id": pd.array(part.doc_id, "Int64"), "score": scores(crf, part.text.tolist())})
-
-    return parallel(spark, docs.select("doc_id", "text")).mapInPandas(judge, "doc_id long, score double")
+    judge = lambda part: {"score": scores(crf, part.column("text").to_pylist())}
+    return map_rows(parallel(spark, docs.select("doc_id", "text")), judge, "score double", drop=("text",), step=1024)
 
 
 def keep(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score the threshold or more, with all their columns."""
     crf = train(docs, labels)
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for k in range(0, len(b), 1024):
-                part = b.iloc[k : k + 1024]
-                yield part[scores(crf, part.text.tolist()) >= threshold]
-
-    return docs.mapInPandas(judge, docs.schema)
+    return map_rows(docs, lambda part: {"keep": scores(crf, part.column("text").to_pylist()) >= threshold}, "", step=1024)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

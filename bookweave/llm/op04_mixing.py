@@ -95,9 +95,10 @@ def _with(left: DataFrame, right: DataFrame) -> DataFrame:
 def apply(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each document as many times as plan() takes it, with its own columns."""
     scratch = Scratch(spark, "mixing")
-    mix = plan(spark, docs, scratch=scratch, **how).groupBy("doc_id").agg(F.max("copies").alias("_copies")).filter("_copies > 0")
-    mix = scratch.write(mix.withColumnRenamed("doc_id", "_id"), "copies")
-    return docs.join(bounded(mix), docs["doc_id"].eqNullSafe(F.col("_id"))).withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+    mix = plan(spark, docs, scratch=scratch, **how).groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies")).filter("__copies > 0")
+    mix = bounded(scratch.write(mix.withColumnRenamed("doc_id", "__id"), "copies"))
+    joined = docs.join(mix, docs["doc_id"].eqNullSafe(F.col("__id")))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[docs[c] for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

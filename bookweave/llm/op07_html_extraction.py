@@ -22,11 +22,10 @@ from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import parallel, table
+from .common import map_rows, parallel, table
 from .trees import BoostedTrees
 
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
@@ -386,14 +385,8 @@ def model(seed: int = 7) -> BoostedTrees:
 def texts(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """page_id, url, text."""
     trees = model()
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for k in range(0, len(b), 128):
-                part = b.iloc[k : k + 128]
-                yield pd.DataFrame({"page_id": pd.array(part.page_id, "Int64"), "url": part.url.tolist(), "text": extract(part.html.tolist(), trees)})
-
-    return parallel(spark, pages.select("page_id", "url", "html")).mapInPandas(cut, "page_id long, url string, text string")
+    cut = lambda part: {"text": extract(part.column("html").to_pylist(), trees)}
+    return map_rows(parallel(spark, pages.select("page_id", "url", "html")), cut, "text string", drop=("html",), step=128)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

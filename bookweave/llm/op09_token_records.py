@@ -155,12 +155,13 @@ def write(spark: SparkSession, docs: DataFrame, out: str, *, tokenizer: str, end
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     shards = max(2, min(100_000, math.ceil(size / shard_bytes)))
     ordered = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = ordered.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:  # without the 0x0A, which the writer puts
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.kind).tobytes()
         for b in batches:
-            ids, texts = [None if pd.isna(i) else int(i) for i in b.doc_id], b.text.tolist()
+            ids, texts = [i if k else None for i, k in zip(b.doc_id.tolist(), b.known.tolist(), strict=True)], b.text.tolist()
             for k in range(0, len(ids), 256):
                 part = slice(k, k + 256)
                 yield pd.DataFrame({"record": [frame(pack(i, t + end, enc.wide))[:-1] for i, t in zip(ids[part], enc(texts[part]), strict=True)]})

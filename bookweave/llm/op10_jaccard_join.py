@@ -132,8 +132,7 @@ def _signed(n: int, num: int, den: int, parts: int):
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            known = b.doc_id.notna().to_numpy()
-            docs = b.doc_id.fillna(0).to_numpy("i8")
+            known, docs = b.known.to_numpy(bool), b.doc_id.to_numpy("i8")
             sets = [shingles([w.lower() for w in byte_words(t)], n) for t in b.text]
             sizes = np.array([len(s) for s in sets], "i8")
             fp1 = np.array([mixed(s).sum(dtype="u8") for s in sets], "u8").view("i8")
@@ -265,7 +264,7 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     if not 3 * num >= 2 * den > num:
         raise ValueError("the threshold must be from 2/3 to below 1")
     scratch = scratch or Scratch(spark, "jaccard")
-    texts = parallel(spark, docs.select("doc_id", "text"))
+    texts = parallel(spark, docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text"))
     parts = pieces(spark, docs, PIECE)
     signed = texts.mapInPandas(_signed(n, num, den, parts), FOUND)
     found = scratch.write(signed.groupBy("piece").applyInPandas(_met, FOUND).drop("pack", "piece"), "found")
