@@ -8,7 +8,7 @@ import xxhash
 U = np.uint64
 #: Odd multipliers; fixed so that stored hashes stay comparable.
 STEP, FIRST, SECOND = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
-MEMO = 1 << 20
+MEMO = 1 << 17  # words a worker remembers, some 25 MB
 
 
 class _Words(dict):

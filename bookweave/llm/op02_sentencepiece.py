@@ -6,8 +6,8 @@ search from the end backwards: hypotheses leave the queue in order of their fina
 compared from the last piece backwards.
 
 No piece crosses from other characters into the white-space mark, and some characters (the line feed) are in no piece,
-so the lattice falls into chunks that recur all over a corpus. Workers remember each chunk's best segmentation and its
-gap to the second best. The N best of a document then differ from its best in at most N-1 chunks, those with the
+so the lattice falls into chunks, and these into parts between characters that are neighbours in no piece; both recur
+all over a corpus. Workers remember each one's best segmentation and its gap to the second best. The N best of a document then differ from its best in at most N-1 chunks, those with the
 smallest gaps (earlier ones first among equals), and an A-star search over these chunks' own N-best lists combines
 them. Ties between documents' segmentations are ordered by the chunks' ranks compared from the last chunk backwards.
 
@@ -24,16 +24,16 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import parallel, table
+from .common import map_rows, parallel, table
 
 MARK = "▁"
-MEMO, LONGEST = 250_000, 48
+MEMO, LONGEST = 150_000, 48  # some 0.3 KB an entry; four such generations at most
+LISTS = 20_000  # chunks whose N best are remembered
 UNKNOWN_PENALTY = 10.0  # below the smallest score of the vocabulary
 NBEST = 4
 
@@ -59,6 +59,10 @@ class Vocabulary:
             else:
                 self.pieces[piece] = (i, sp.get_score(i))
                 self.surface.append(piece.replace(MARK, " ").encode())
+        #: Every beginning of a piece, with the piece if it is one.
+        self.beginnings: dict[str, tuple[int, float] | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p))}
+        self.beginnings |= self.pieces
+        self.pairs = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
         self.longest = max(map(len, self.pieces))
         self.unknown = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
         if any(MARK in p.lstrip(MARK) for p in self.pieces):
@@ -100,62 +104,112 @@ class Vocabulary:
                 heapq.heappush(queue, (-(forward[i] + s + score), (*back, ids), i, s + score))
         return found
 
-    def best(self, chunk: str) -> tuple[float, float, tuple[int, ...]]:
-        """Best score, gap to the second best (infinite if there is none), and the best's ids."""
-        edges = self.edges(chunk)
-        forward = self.forward(edges)
-        second = [-np.inf]
-        for own in edges[1:]:
-            two = heapq.nlargest(2, [x for i, _, s in own for x in (forward[i] + s, second[i] + s)])
-            second.append(two[1])
-        return forward[-1], forward[-1] - second[-1], self.nbest(chunk, 1)[0][1]
+    def best(self, chunk: str) -> tuple[float, float, list[int]]:
+        """Best score, gap to the second best (infinite if there is none), and the best's ids: forward Viterbi alone."""
+        n, get = len(chunk), self.beginnings.get
+        first, second = [-np.inf] * (n + 1), [-np.inf] * (n + 1)
+        piece, start = [0] * (n + 1), [0] * (n + 1)  # the last piece's id (-1: bytes) and where it begins
+        first[0] = 0.0
+        for i in range(n):
+            here, there = first[i], second[i]
+            lone = True
+            for j in range(i + 1, n + 1):
+                found = get(chunk[i:j], 0)
+                if found:
+                    if j == i + 1:
+                        lone = False
+                    ident, own = found
+                    score, old = here + own, first[j]
+                    if score > old or score == old and ident < piece[j]:
+                        first[j], piece[j], start[j] = score, ident, i
+                        score = there + own
+                        second[j] = old if old > score else score
+                    elif score > second[j]:
+                        second[j] = score
+                elif found == 0:
+                    break
+            if lone:
+                j, own = i + 1, self.unknown
+                score, old = here + own, first[j]
+                if score > old:
+                    first[j], piece[j], start[j] = score, -1, i
+                    score = there + own
+                    second[j] = old if old > score else score
+                elif score > second[j]:
+                    second[j] = score
+        ids, at = [], n
+        while at:
+            i = start[at]
+            ids.extend([piece[at]] if piece[at] >= 0 else [self.bytes[b] for b in reversed(chunk[i].encode("utf-8", "surrogatepass"))])
+            at = i
+        return first[n], first[n] - second[n], ids[::-1]
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "surrogatepass")
         return text.removeprefix(" ")
 
 
+class _Memo(dict):
+    """What has been worked out per chunk. When full, the entries become the older generation, from which those in use return."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, chunk: str) -> tuple[float, float, bytes]:
+        found = self.older.get(chunk) or self.make(chunk)
+        if len(chunk) <= LONGEST:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = found
+        return found
+
+
 class Segmenter:
-    """Documents, by way of a memo of chunks."""
+    """Documents, by way of memos of chunks and of their parts: (score, gap to the second best, ids)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
         self.vocabulary = Vocabulary(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.score, self.gap, self.ids = np.zeros(1024), np.zeros(1024), []
-
-    def _known(self, chunk: str) -> int:
-        k = self.at.get(chunk)
-        if k is None:
-            k = len(self.ids)
-            if k == len(self.score):
-                self.score, self.gap = np.resize(self.score, 2 * k), np.resize(self.gap, 2 * k)
-            self.score[k], self.gap[k], ids = self.vocabulary.best(chunk)
-            self.ids.append(np.array(ids, "<u4").tobytes())
-            self.at[chunk] = k
-        return k
+        self.known, self.parts = _Memo(self._chunk, memo), _Memo(self._part, memo)
+        self.lists: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
+
+    def _part(self, part: str) -> tuple[float, float, bytes]:
+        score, gap, ids = self.vocabulary.best(part)
+        return score, gap, np.array(ids, "<u4").tobytes()
+
+    def _nbest(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """Chunks with small gaps are mostly frequent words."""
+        found = self.lists.get((chunk, n))
+        if found is None:
+            if len(self.lists) >= LISTS:
+                self.lists.clear()
+            found = self.lists[chunk, n] = self.vocabulary.nbest(chunk, n)
+        return found
+
+    def _chunk(self, chunk: str) -> tuple[float, float, bytes]:
+        """No piece crosses two characters that stand side by side in none, so the chunk falls into parts there."""
+        pairs = self.vocabulary.pairs
+        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in pairs]
+        if not cuts:
+            return self.parts[chunk]
+        found = [self.parts[chunk[a:b]] for a, b in pairwise((0, *cuts, len(chunk)))]
+        return sum(f[0] for f in found), min(f[1] for f in found), b"".join([f[2] for f in found])
 
     def __call__(self, text: str | None, n: int) -> list[tuple[float, np.ndarray]]:
         """The n best (score, ids) of a whole text."""
         if not text:
             return [(0.0, np.zeros(0, "<u4"))]
-        if len(self.ids) > MEMO:
-            self.clear()
         chunks = self.vocabulary.chunks(MARK + text.replace(" ", MARK))
-        get = self.at.get
-        at = [k if (k := get(c)) is not None else self._known(c) for c in chunks]
-        where = np.array(at)
-        total, best = float(self.score[where].sum()), [self.ids[k] for k in at]
+        at = list(map(self.known.__getitem__, chunks))
+        best, total = [a[2] for a in at], sum([a[0] for a in at])
         found = [(total, np.frombuffer(b"".join(best), "<u4"))]
         if n > 1:
-            gap = self.gap[where]
-            near = np.argpartition(gap, n - 2)[: n - 1] if len(gap) > n - 1 else np.arange(len(gap))
-            limit = gap[near].max()
-            # among equal gaps the earlier chunks
-            places = sorted(np.lexsort((np.arange(len(gap)), gap))[: n - 1] if np.count_nonzero(gap == limit) > 1 else near)
-            lists = [self.vocabulary.nbest(chunks[p], n) for p in places]
+            gap = np.array([a[1] for a in at])
+            # the smallest gaps, among equal ones the earlier chunks
+            limit = np.partition(gap, n - 2)[n - 2] if len(gap) > n - 1 else np.inf
+            below = np.flatnonzero(gap < limit)
+            places = sorted([*below, *np.flatnonzero(gap == limit)[: n - 1 - len(below)]])
+            lists = [self._nbest(chunks[p], n) for p in places]
             for ranks in self._combined(lists, n)[1:]:
                 own = list(best)
                 loss = 0.0
@@ -181,13 +235,14 @@ class Segmenter:
         return found
 
 
-_segmenters: dict[str, Segmenter] = {}
+_segmenters: dict[tuple[str, int], Segmenter] = {}
 
 
-def segmenter(path: str) -> Segmenter:
-    if path not in _segmenters:
-        _segmenters[path] = Segmenter(path)
-    return _segmenters[path]
+def segmenter(path: str, memo: int = MEMO) -> Segmenter:
+    """One per worker process, kept between tasks."""
+    if (path, memo) not in _segmenters:
+        _segmenters[path, memo] = Segmenter(path, memo)
+    return _segmenters[path, memo]
 
 
 def model() -> str:
@@ -199,31 +254,24 @@ def model() -> str:
 def segment(spark: SparkSession, docs: DataFrame, *, path: str, n: int = NBEST) -> DataFrame:
     """doc_id and, best first, segmentations: array of (score, ids); round_trip: the best decodes to the text."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        s = segmenter(path)
-        for b in batches:
-            for k in range(0, len(b), 64):
-                part = b.iloc[k : k + 64]
-                found = [s(t, n) for t in part.text]
-                same = [s.vocabulary.decode(f[0][1].tolist()) == (t or "").replace(MARK, " ") for f, t in zip(found, part.text, strict=True)]
-                yield pd.DataFrame({"doc_id": pd.array(part.doc_id, "Int64"), "segmentations": [[{"score": x, "ids": i.astype("i4")} for x, i in f] for f in found], "round_trip": same})
+    def cut(part) -> dict:
+        s, texts = segmenter(path), part.column("text").to_pylist()
+        found = [s(t, n) for t in texts]
+        same = [s.vocabulary.decode(f[0][1].tolist()) == (t or "").replace(MARK, " ") for f, t in zip(found, texts, strict=True)]
+        return {"segmentations": [[{"score": x, "ids": i.tolist()} for x, i in f] for f in found], "round_trip": same}
 
-    return parallel(spark, docs.select("doc_id", "text")).mapInPandas(cut, "doc_id long, segmentations array<struct<score: double, ids: array<int>>>, round_trip boolean")
+    return map_rows(parallel(spark, docs.select("doc_id", "text")), cut, "segmentations array<struct<score: double, ids: array<int>>>, round_trip boolean", drop=("text",), step=64)
 
 
 def encode(spark: SparkSession, docs: DataFrame, *, path: str) -> DataFrame:
     """docs without text, with ids of its best segmentation and n_tokens."""
-    rest = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(part) -> dict:
         s = segmenter(path)
-        for b in batches:
-            ids = [s(t, 1)[0][1] for t in b.text]
-            yield b[rest].assign(ids=[i.astype("i4") for i in ids], n_tokens=[len(i) for i in ids])
+        ids = [s(t, 1)[0][1].view("<i4") for t in part.column("text").to_pylist()]
+        return {"ids": ids, "n_tokens": [len(i) for i in ids]}
 
-    kept = docs.select(*rest, "text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
-    return kept.mapInPandas(cut, f"{fields}, ids array<int>, n_tokens long")
+    return map_rows(docs, cut, "ids array<int>, n_tokens long", drop=("text",))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,18 +279,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     best, and how many there are."""
     path = model()
 
-    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        s = segmenter(path)
-        for b in batches:
-            rows = []
-            for t in b.text:
-                found = s(t, NBEST)
-                ids = found[0][1]
-                rows.append((len(ids), zlib.crc32(ids.tobytes()), found[0][0], found[-1][0], len(found), s.vocabulary.decode(ids.tolist()) == (t or "").replace(MARK, " ")))
-            out = pd.DataFrame(rows, columns=["n_pieces", "ids_crc32", "best_score", "last_score", "n_best", "round_trip"])
-            yield out.assign(doc_id=pd.array(b.doc_id, "Int64"))
+    def summed(part) -> dict:
+        s, out = segmenter(path, 400_000), {"n_pieces": [], "ids_crc32": [], "best_score": [], "last_score": [], "n_best": [], "round_trip": []}
+        for t in part.column("text").to_pylist():
+            found = s(t, NBEST)
+            ids = found[0][1]
+            row = (len(ids), zlib.crc32(ids.tobytes()), found[0][0], found[-1][0], len(found), s.vocabulary.decode(ids.tolist()) == (t or "").replace(MARK, " "))
+            for values, x in zip(out.values(), row, strict=True):
+                values.append(x)
+        return out
 
     docs = parallel(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.mapInPandas(summed, "n_pieces long, ids_crc32 long, best_score double, last_score double, n_best int, round_trip boolean, doc_id long").select(
-        "doc_id", "n_pieces", "ids_crc32", "best_score", "last_score", "n_best", "round_trip"
-    )
+    return map_rows(docs, summed, "n_pieces long, ids_crc32 long, best_score double, last_score double, n_best int, round_trip boolean", drop=("text",))
