@@ -63,7 +63,7 @@ def metrics(books: DataFrame, key: str = "barcode", text: str = "text") -> DataF
         *counted("trigram", "w3"),
         *counted("sentence", "s"),
         (F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + F.length(x)) / F.nullif(F.size("s"), F.lit(0))).alias("average_sentence_length"),
-        F.least(F.lit(100.0), F.size("w") * 1.25 / F.nullif(tokens, F.lit(0)) * 100).alias("tokenizability"),
+        F.when(F.size("w") > 0, F.least(F.lit(100.0), F.size("w") * 1.25 / tokens * 100)).alias("tokenizability"),
     )
 
 
