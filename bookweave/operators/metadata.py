@@ -66,8 +66,10 @@ def rights(catalogue_keys: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def reason_code(xml: Column, htid: str) -> Column:
-    """Subfield q of the last 974 field whose subfield u is the volume."""
-    return F.nullif(F.xpath_string(xml, F.concat(F.lit('(//datafield[@tag="974"][subfield[@code="u"]="'), F.col(htid), F.lit('"])[last()]/subfield[@code="q"]'))), F.lit(""))
+    """Subfield q of the last 974 field of a MARC record whose subfield u is the volume."""
+    part = lambda field, code: F.trim(F.regexp_extract(field, f'<subfield[^>]*code="{code}"[^>]*>([^<]*)<', 1))
+    fields = F.filter(F.regexp_extract_all(xml, F.lit(r'(?s)<datafield[^>]*tag="974".*?</datafield>'), F.lit(0)), lambda f: part(f, "u") == F.col(htid))
+    return F.nullif(part(F.get(fields, F.size(fields) - 1), "q"), F.lit(""))
 
 
 def is_pd(books: DataFrame, mode: str, *, rights: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
