@@ -3,7 +3,8 @@
 Every document gets a 36-bit hash of its id. Per source, tokens are summed by hash bucket (12 bits at a time), the
 bucket in which the running sum crosses the budget is found, and only that bucket is split further. After three
 rounds each source has one threshold, and ``hash < threshold`` is the sample: nothing is sorted, budgets are nested
-(a larger budget keeps all that a smaller one keeps), and reruns agree.
+(a larger budget keeps all that a smaller one keeps), and reruns agree. A source's last gap, smaller than one document,
+is closed as far as one more document can.
 
 Everything is DataFrame code. The histogram has at most 4096 rows per source and round, whatever the corpus; a source
 that holds a third of all rows is spread over its buckets, and partial aggregation sums it before the shuffle.
@@ -81,9 +82,17 @@ def plan(spark: SparkSession, docs: DataFrame, *, weights: tuple[int, ...] = (1,
         )
     # the last bucket (equal in all 36 bits) is taken when that ends nearer to the target than leaving it
     last = _with(rows, bounded(state.select("source", "prefix"))).filter(F.col("h") == F.col("prefix")).groupBy(rows["source"]).agg(F.sum("size").alias("last"))
-    limit = _with(state, last).select(state["source"], "source_size", "target", "whole", (F.col("prefix") + F.when(2 * (F.col("left") - F.col("under")) >= F.col("last"), 1).otherwise(0)).alias("threshold"))
+    taken = 2 * (F.col("left") - F.col("under")) >= F.col("last")
+    limit = _with(state, last).select(
+        state["source"], "source_size", "target", "whole", (F.col("prefix") + F.when(taken, 1).otherwise(0)).alias("threshold"), (F.col("left") - F.col("under") - F.when(taken, F.col("last")).otherwise(0)).alias("short")
+    )
     limit = bounded(scratch.write(limit, "thresholds"))
-    copies = F.col("whole") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
+    # what is still short is filled by one more document, the one whose size comes nearest, where that helps
+    rest = _with(rows, limit).filter((F.col("h") >= F.col("threshold")) & (F.abs(F.col("size") - F.col("short")) < F.col("short")))
+    best = scratch.write(rest.groupBy(rows["source"]).agg(F.min_by("h", F.struct(F.abs(F.col("size") - F.col("short")), "h")).alias("filler")), "fillers")
+    limit = _with(limit, bounded(best)).select(limit["source"], "source_size", "target", "whole", "threshold", "filler")
+    limit = bounded(scratch.write(limit, "limits"))
+    copies = F.col("whole") + F.when((F.col("h") < F.col("threshold")) | F.coalesce(F.col("h") == F.col("filler"), F.lit(False)), 1).otherwise(0)
     return _with(rows, limit).select(rows["doc_id"], rows["size"], rows["source"], "source_size", "target", copies.alias("copies"), (copies * rows["size"]).alias("taken"))
 
 
@@ -122,6 +131,10 @@ b AS (SELECT d.*, c.source_size, c.target, c.whole, greatest(c.target - c.whole
              sum(size) OVER (PARTITION BY d.source, h) AS same
       FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source),
 k AS (SELECT *, CASE WHEN upto <= budget THEN 1 WHEN upto - same <= budget AND 2 * (budget - (upto - same)) >= same
-                          THEN 1 ELSE 0 END AS extra FROM b)
-SELECT doc_id, size, source_size, target, ((whole + extra) * size)::BIGINT AS taken FROM k
+                          THEN 1 ELSE 0 END AS extra FROM b),
+r AS (SELECT source, budget - sum(size * extra) AS short FROM k GROUP BY source, budget),
+p AS (SELECT k.source, arg_min(h, (abs(size - short), h)) AS filler FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source
+      WHERE extra = 0 AND abs(size - short) < short GROUP BY 1)
+SELECT doc_id, size, source_size, target, ((whole + CASE WHEN h = filler THEN 1 ELSE extra END) * size)::BIGINT AS taken
+FROM k LEFT JOIN p ON k.source IS NOT DISTINCT FROM p.source
 """
