@@ -41,9 +41,10 @@ from .components import components
 from .hashing import STEP, U, mixed, shingles
 
 RATIO = 1.5  # of neighbouring size bands
-PIECE = 5 << 20  # bytes of stored text whose keys go to one piece
+PIECE = 3 << 20  # bytes of stored text whose keys go to one piece
+HELD = 1 << 18  # shingles whose keys are met in a mapper before they are sent
 BLOCK, HUBS = 128, 8
-POINTS = 2048  # documents of a block when only points are compared
+POINTS = 4096  # documents of a block when only points are compared
 GROUPS, LEAF = 64, 16  # coordinates of a point, points in a leaf
 EMPTY = U(0x5EED)
 BANDS = [1]
@@ -127,33 +128,45 @@ def _rows(kind: int, **columns) -> pd.DataFrame:
     return pd.DataFrame(blank | columns)
 
 
+def _columns(held: list) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    return np.array([d for d, _, _ in held], "i8"), [s for _, s, _ in held], np.array([f for _, _, f in held], "i8")
+
+
 def _signed(n: int, num: int, den: int, parts: int):
     """Per document a row of kind 0 (set size, fingerprint), edges of kind 1, and packed keys by piece of kind 2."""
 
+    def sent(docs: np.ndarray, sets: list[np.ndarray], fp: np.ndarray) -> Iterator[pd.DataFrame]:
+        one = np.unique(fp, axis=0, return_index=True)[1]
+        key, owner = keys([sets[i] for i in one], num, den)
+        key, doc, edges = stars(key, docs[one][owner])
+        if len(edges):
+            yield _rows(1, a=edges[:, 0], b=edges[:, 1], piece=(edges[:, 1] % parts).astype("i4"))
+        piece = (key % U(parts)).astype("i4")
+        order = np.argsort(piece, kind="stable")
+        if len(order):
+            cuts = np.flatnonzero(np.concatenate([[True], piece[order][1:] != piece[order][:-1]]))
+            packs = [np.stack([key[o], doc[o].view("u8")]).tobytes() for o in np.split(order, cuts[1:])]
+            yield _rows(2, piece=piece[order][cuts], pack=packs)
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[int, np.ndarray, tuple[int, int]]] = []  # of so many shingles that memory stays bounded
+        size = 0
         for b in batches:
             known, docs = b.known.to_numpy(bool), b.doc_id.to_numpy("i8")
-            sets = [shingles([w.lower() for w in byte_words(t)], n) for t in b.text]
-            sizes = np.array([len(s) for s in sets], "i8")
-            fp1 = np.array([mixed(s).sum(dtype="u8") for s in sets], "u8").view("i8")
-            fp2 = np.array([mixed(s ^ STEP).sum(dtype="u8") for s in sets], "u8").view("i8")
-            kind = np.where(known, 0, 3)
-            yield _rows(0, a=docs, n=sizes, fp1=fp1, fp2=fp2, piece=(np.arange(len(docs)) % parts).astype("i4")).assign(kind=kind.astype("i4"))
-            one = pd.DataFrame({"a": fp1, "b": fp2}).drop_duplicates().index.to_numpy()
-            one = one[known[one]]
-            # some thousand documents at a time, so that memory depends on neither batch size nor text length
-            upto = np.cumsum(sizes[one]) // (1 << 20) if len(one) else np.zeros(0)
-            for part in (one[upto == u] for u in np.unique(upto)):
-                key, owner = keys([sets[i] for i in part], num, den)
-                key, doc, edges = stars(key, docs[part][owner])
-                if len(edges):
-                    yield _rows(1, a=edges[:, 0], b=edges[:, 1], piece=(edges[:, 1] % parts).astype("i4"))
-                piece = (key % U(parts)).astype("i4")
-                order = np.argsort(piece, kind="stable")
-                cuts = np.flatnonzero(np.concatenate([[True], piece[order][1:] != piece[order][:-1]])) if len(order) else []
-                packs = [np.stack([key[o], doc[o].view("u8")]).tobytes() for o in np.split(order, cuts[1:])] if len(cuts) else []
-                if packs:
-                    yield _rows(2, piece=piece[order][cuts], pack=packs)
+            sizes, prints = np.zeros(len(docs), "i8"), np.zeros((len(docs), 2), "i8")
+            for i, t in enumerate(b.text):
+                s = shingles([w.lower() for w in byte_words(t)], n)
+                sizes[i] = len(s)
+                prints[i] = np.array([mixed(s).sum(dtype="u8"), mixed(s ^ STEP).sum(dtype="u8")], "u8").view("i8")
+                if known[i] and len(s):
+                    held.append((docs[i], s, tuple(prints[i])))
+                    size += len(s)
+                if size >= HELD:
+                    yield from sent(*_columns(held))
+                    held, size = [], 0
+            yield _rows(0, a=docs, n=sizes, fp1=prints[:, 0], fp2=prints[:, 1], piece=(np.arange(len(docs)) % parts).astype("i4")).assign(kind=np.where(known, 0, 3).astype("i4"))
+        if held:
+            yield from sent(*_columns(held))
 
     return sign
 
@@ -214,15 +227,23 @@ def linked(nodes: np.ndarray, points: np.ndarray, sizes: np.ndarray, sets: list[
     _, root = np.unique(group, return_inverse=True)
     found = []
     for i in range(len(nodes)):
-        for j in tree.near(points[i], sizes[i], num, den):
-            if j >= i or not every_pair and root[i] == root[j] or nodes[i] == nodes[j]:
-                continue
-            if sets is not None:
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if den * both < num * (sizes[i] + sizes[j] - both):
-                    continue
-            found.append((int(nodes[i]), int(nodes[j])))
-            root[root == root[j]] = root[i]
+        at = tree.near(points[i], sizes[i], num, den)
+        at = at[(at < i) & (nodes[at] != nodes[i])]
+        if not every_pair:
+            at = at[root[at] != root[i]]
+        if sets is None:
+            roots, first = np.unique(root[at], return_index=True)
+            found += [(int(nodes[i]), int(nodes[j])) for j in at[first]]
+            root[np.isin(root, roots)] = root[i]
+            continue
+        while len(at):
+            j, at = at[0], at[1:]
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if den * both >= num * (sizes[i] + sizes[j] - both):
+                found.append((int(nodes[i]), int(nodes[j])))
+                root[root == root[j]] = root[i]
+                if not every_pair:
+                    at = at[root[at] != root[i]]
     return found
 
 
