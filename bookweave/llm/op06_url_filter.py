@@ -6,9 +6,15 @@ hosts by the share of their pages that rules allow and follows the links (person
 the share that rules block and runs against the links, to whoever links there. A host is blocked when its distrust
 exceeds its trust by more than ``threshold``.
 
+Two forms of the ranks: settle(), judge()'s default, gives what surfers see. Distrust is the part of a random surfer's
+personalised PageRank from the host that ends on blocked pages, trust the same against the links; so neither shrinks
+with the number of hosts linked, a host's own share is the least it has, and rounds go on until ``TOLERANCE``.
+propagate() deals a host's mass out over its links in ITERATIONS rounds; a linked host's mass then falls with the
+number of its links and rarely reaches the threshold. The registered query takes propagate(), as its SQL does.
+
 Everything is DataFrame code. Links are summed to one weighted edge per pair of hosts before anything is joined, so a
-host with a third of all pages or links is pre-aggregated; ranks are a row per host. Every second round is written to
-the shared folder, which cuts the lineage. Without edges the seeds are the fixed point and no round is run.
+host with a third of all pages or links is pre-aggregated; ranks are a row per host. Every second round (in settle()
+every round) is written to the shared folder, which cuts the lineage. Without edges the seeds are the fixed point and no round is run.
 
 Defined results: a null url or one without ``://`` has an empty host and path, no rule, and the verdict of the empty
 host; null html has no links; repeated rows are judged alike; an empty table gives an empty result; extra columns are
@@ -17,6 +23,8 @@ ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +33,7 @@ from .common import Scratch, table
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
 DAMPING, ITERATIONS, THRESHOLD = 0.85, 6, 0.5
+TOLERANCE = 1e-3  # of settle(): no rank is further than this from its limit
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
@@ -77,7 +86,33 @@ def propagate(scratch: Scratch, seeds: DataFrame, links: DataFrame, *, damping:
     return state
 
 
-def judge(spark: SparkSession, pages: DataFrame, *, rules: tuple[tuple[str, str], ...] = RULES, threshold: float = THRESHOLD) -> DataFrame:
+def settle(scratch: Scratch, seeds: DataFrame, links: DataFrame, *, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """host, trust, distrust, each from 0 to 1 and at least the host's own share.
+
+    Distrust is the mean of the hosts linked to, trust that of the hosts that link here, weighted by links. A round
+    shrinks what is missing by ``damping``, so the largest change bounds it.
+    """
+    ends = links.select(F.col("src").alias("host")).union(links.select(F.col("dst").alias("host"))).distinct()
+    nodes = scratch.write(seeds.join(ends, "host", "full").na.fill(0.0, ["seed_trust", "seed_distrust"]), "nodes")
+    out = links.groupBy("src").agg(F.sum("n").alias("n_out"))
+    into = links.groupBy("dst").agg(F.sum("n").alias("n_in"))
+    links = scratch.write(links.join(out, "src").join(into, "dst").select("src", "dst", (F.col("n") / F.col("n_out")).alias("seen"), (F.col("n") / F.col("n_in")).alias("shown")), "links")
+    state = nodes.select("host", F.col("seed_trust").alias("trust"), F.col("seed_distrust").alias("distrust"))
+    old, change = None, 1.0
+    while change * damping > tolerance * (1 - damping):
+        go = links.join(state.select(F.col("host").alias("src"), "trust"), "src").groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("trust") * F.col("shown")).alias("got"))
+        back = links.join(state.select(F.col("host").alias("dst"), "distrust"), "dst").groupBy(F.col("src").alias("host")).agg(F.sum(F.col("distrust") * F.col("seen")).alias("blamed"))
+        mixed = lambda seed, met: F.greatest(F.col(seed), (1 - damping) * F.col(seed) + damping * F.coalesce(met, seed))
+        new = nodes.join(state, "host").join(go, "host", "left").join(back, "host", "left")
+        new = scratch.write(new.select("host", mixed("seed_trust", "got").alias("trust"), mixed("seed_distrust", "blamed").alias("distrust"), F.greatest(F.abs(mixed("seed_trust", "got") - F.col("trust")), F.abs(mixed("seed_distrust", "blamed") - F.col("distrust"))).alias("change")), "ranks")
+        change = new.agg(F.max("change")).first()[0]
+        if old is not None:
+            scratch.drop(old)
+        old, state = new, new.drop("change")
+    return state
+
+
+def judge(spark: SparkSession, pages: DataFrame, *, rules: tuple[tuple[str, str], ...] = RULES, threshold: float = THRESHOLD, rank: Callable[[Scratch, DataFrame, DataFrame], DataFrame] = settle) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust."""
     if len(rules) > 1000:
         raise ValueError("rules become one expression; at most 1000")
@@ -88,13 +123,13 @@ def judge(spark: SparkSession, pages: DataFrame, *, rules: tuple[tuple[str, str]
     share = lambda what: F.sum(F.when(F.col("said") == what, 1).otherwise(0)) / F.count("*")
     seeds = scratch.write(named.groupBy("host").agg(share("allow").alias("seed_trust"), share("block").alias("seed_distrust")), "seeds")
     links = scratch.write(edges(pages), "edges")
-    ranks = seeds.select("host", F.col("seed_trust").alias("trust"), F.col("seed_distrust").alias("distrust")) if links.isEmpty() else propagate(scratch, seeds, links)
+    ranks = seeds.select("host", F.col("seed_trust").alias("trust"), F.col("seed_distrust").alias("distrust")) if links.isEmpty() else rank(scratch, seeds, links)
     verdict = F.coalesce("said", F.when(F.col("distrust") - F.col("trust") > threshold, "block").otherwise("allow"))
     return named.join(ranks.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(spark, table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+    return judge(spark, table(spark, sf_dir, "pages"), rank=propagate).select("page_id", "host", "path", "rule", "verdict")
 
 
 def _oracle() -> str:

@@ -310,6 +310,21 @@ def test_distrust_runs_against_the_links(spark):
     assert got["farm"].distrust > 0.5 and got["fan"].trust > 0.5 and got["fan"].distrust == 0 and got["farm"].trust == 0
 
 
+def test_linked_hosts_are_judged_whatever_the_number_of_links(spark):
+    """Ten linkers to one blocked host; a host of which rules block nine pages in ten, linked to; one stray link of many."""
+    link = lambda *hosts: "".join(f"<a href='http://{h}/'>" for h in hosts)
+    rows = [("bad.com", "/en/1", None), *((f"fan{i}.io", "/", link("bad.com")) for i in range(10))]
+    rows += [("mostly.com", f"/en/{i}", None) for i in range(9)] + [("mostly.com", "/x", link("plain0.io")), ("once.io", "/", link("mostly.com"))]
+    rows += [("stray.io", "/", link("bad.com", *(f"plain{i}.io" for i in range(20))))] + [(f"far{i}.io", "/", link(f"far{i - 1}.io" if i else "fan0.io")) for i in range(8)]
+    rows += [("x.net", "/de/", link("known.io")), ("known.io", "/", link("bad.com"))]
+    pages = spark.createDataFrame([(i, f"http://{h}{p}", t) for i, (h, p, t) in enumerate(rows)], "page_id long, url string, html string")
+    got = {(r.host, r.path): r for r in op6.judge(spark, pages).collect()}
+    assert all(got[f"fan{i}.io", "/"].verdict == "block" and abs(got[f"fan{i}.io", "/"].distrust - 0.85) < 1e-9 for i in range(10))
+    assert got["mostly.com", "/x"].verdict == "block" and got["mostly.com", "/x"].distrust == 0.9 and got["once.io", "/"].verdict == "block"
+    assert got["stray.io", "/"].verdict == "allow" and got["known.io", "/"].verdict == "allow"
+    assert all(abs(got[f"far{i}.io", "/"].distrust - 0.85 ** (i + 2)) < op6.TOLERANCE for i in range(8))
+
+
 # --- 7
 
 
