@@ -1,7 +1,7 @@
 """Substring dedup: suffix automata of reference shards, matching statistics, maximal repeated spans removed.
 
 A window is ``window`` consecutive words. A word goes when some window over it has the same words as a window that
-starts earlier (smaller doc_id, or same document and earlier start).
+starts earlier (smaller doc_id, or same doc_id and smaller start). So some copy of every window stays.
 
 The reference is the corpus itself, so automata of all of it can't be broadcast: every task would need all words. It
 is cut into shards by content instead, and documents send each shard only what can match there:
@@ -10,18 +10,23 @@ is cut into shards by content instead, and documents send each shard only what c
    (one in seven words) are met by hash; those that occur once end here.
 2. For each anchor that occurs again a document sends the anchor's segment, the words under the windows that share it,
    to the anchor's shard.
-3. A shard takes the segments of an anchor in corpus order. Segments equal to an earlier one are repeats as a whole.
-   The others are streamed through a suffix automaton of the segments before them: where the matching statistic
-   reaches the window, the window is a repeat. Then the segment joins the automaton.
-4. Repeated windows return to their documents; the union of their words is cut out.
+3. A shard takes the segments of an anchor in corpus order, which is that of (doc_id, place of the anchor), for equal
+   windows have it at the same word. Segments equal to an earlier one are repeats as a whole. The others are streamed
+   through a suffix automaton of the segments before them: where the matching statistic reaches the window, the window
+   is a repeat. Then the segment joins the automaton. Segments at the same (doc_id, place) are not earlier than each
+   other: all are compared, then all join.
+4. Repeated windows return to their rows; the union of their words is cut out.
+
+A row is told by a 64-bit hash of doc_id and text; doc_id alone only gives the order.
 
 Anchors and segments that occur often are reduced within each batch of documents before they are sent (one entry per
-batch), so a passage in a third of all documents stays small; they travel packed. Words count by a 64-bit hash in
+batch; rows that tie with it follow without words), so a passage in a third of all documents stays small; they travel
+packed. Words count by a 64-bit hash in
 steps 1 and 2 and by 48 bits of it within the segments of one anchor.
 
-Defined results: null or empty text has no words; a null doc_id counts as the largest; rows that share a doc_id are one
-document (equal texts keep the same words); an empty table gives an empty result; extra columns are ignored by spans()
-and kept by apply().
+Defined results: null or empty text has no words; a null doc_id counts as the largest; rows that share a doc_id, and
+those without one, are cut each by itself and ordered by start alone, so exact copies of a row keep the same words and
+all stay; an empty table gives an empty result; extra columns are ignored by spans() and kept by apply().
 """
 
 from __future__ import annotations
@@ -29,10 +34,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
@@ -43,9 +49,9 @@ WINDOW, ANCHOR = 20, 8
 PIECE = 3 << 20
 CODE = 6  # bytes of a word within a segment
 LAST = (1 << 63) - 1  # stands for a null doc_id
-SENT = "kind int, piece int, doc long, value long, pack binary"
-HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])
-MET = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("at", "<i4")])
+SENT = "kind int, piece int, row long, value long, pack binary"
+HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("row", "<i8"), ("start", "<i4"), ("n", "<i4")])  # n = 0: the words of the entry before
+MET = np.dtype([("anchor", "<u8"), ("row", "<i8"), ("at", "<i4")])
 CHUNK = 1 << 20  # words handled at a time
 
 
@@ -84,12 +90,17 @@ def _chunks(texts: list, docs: np.ndarray) -> Iterator[tuple[list[int], np.ndarr
 def _packs(pack: list[bytes], piece: list[int]) -> pd.DataFrame:
     """Rows of kind 2: packed entries for a piece."""
     none = np.zeros(len(pack), "i8")
-    return pd.DataFrame({"kind": np.full(len(pack), 2, "i4"), "piece": np.array(piece, "i4"), "doc": none, "value": none, "pack": pack})
+    return pd.DataFrame({"kind": np.full(len(pack), 2, "i4"), "piece": np.array(piece, "i4"), "row": none, "value": none, "pack": pack})
+
 
+def _facts(row: np.ndarray, value: np.ndarray, pieces: int = 1) -> pd.DataFrame:
+    """Rows of kind 1: one thing known of a row each."""
+    return pd.DataFrame({"kind": np.ones(len(row), "i4"), "piece": (row % pieces).astype("i4"), "row": row, "value": value.astype("i8"), "pack": np.full(len(row), None, object)})
 
-def _facts(doc: np.ndarray, value: np.ndarray, pieces: int = 1) -> pd.DataFrame:
-    """Rows of kind 1: one thing known of a document each."""
-    return pd.DataFrame({"kind": np.ones(len(doc), "i4"), "piece": (doc % pieces).astype("i4"), "doc": doc, "value": value.astype("i8"), "pack": np.full(len(doc), None, object)})
+
+def _once(facts: pd.DataFrame) -> pd.DataFrame:
+    """Exact copies of a row have one key; what is known of it is known twice at most, by its own piece and its anchor's."""
+    return facts.drop_duplicates(["row", "value"])
 
 
 def _span(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -105,16 +116,17 @@ def _by(key: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, tuple[np.nd
 
 
 def _anchored(window: int, pieces: int):
-    """Documents' anchors, packed by piece (kind 2), and the ones that a batch itself repeats, by document (kind 1)."""
+    """Documents' anchors, packed by piece (kind 2), and the ones that a batch itself repeats, by row (kind 1)."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            docs, texts = b.doc.to_numpy("i8"), b.text.tolist()
-            for rows, ids, row, base in _chunks(texts, docs):
+            b = b.drop_duplicates("row")
+            keys, texts = b.row.to_numpy("i8"), b.text.tolist()
+            for rows, ids, row, base in _chunks(texts, keys):
                 first, _, at, anchor = segments(ids, row, window)
                 if not len(at):
                     continue
-                own = docs[rows][row[first]]
+                own = keys[rows][row[first]]
                 at = at - base[row[first]]
                 # the lowest bit says that the anchor is known to be repeated
                 key = anchor >> U(1)
@@ -125,7 +137,7 @@ def _anchored(window: int, pieces: int):
                 if again.any():
                     yield _facts(own[again], at[again], pieces)
                 met = np.empty(int(head.sum()), MET)
-                met["anchor"], met["doc"], met["at"] = key[head] << U(1) | again[head].astype("u8"), own[head], at[head]
+                met["anchor"], met["row"], met["at"] = key[head] << U(1) | again[head].astype("u8"), own[head], at[head]
                 found = [(p, m.tobytes()) for p, (m,) in _by((key[head] % U(pieces)).astype("i8"), met)]
                 yield _packs([m for _, m in found], [p for p, _ in found])
 
@@ -133,12 +145,12 @@ def _anchored(window: int, pieces: int):
 
 
 def _repeated():
-    """A piece of the anchors: positions of those that occur again, by document."""
+    """A piece of the anchors: positions of those that occur again, by row."""
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
         rest, packs = f[f.kind == 1], f["pack"][f.kind == 2]
         if not len(packs):
-            return rest
+            return _once(rest)
         met = np.concatenate([np.frombuffer(p, MET) for p in packs])
         met = met[np.argsort(met["anchor"] >> U(1), kind="stable")]
         key, known = met["anchor"] >> U(1), met["anchor"] & U(1)
@@ -146,7 +158,7 @@ def _repeated():
         group = np.cumsum(head) - 1
         many = (np.bincount(group) > 1) | (np.bincount(group, known) > 0)
         out = met[many[group] & (known == 0)]
-        return pd.concat([rest, _facts(out["doc"], out["at"])]) if len(out) else rest
+        return _once(pd.concat([rest, _facts(out["row"], out["at"])]) if len(out) else rest)
 
     return meet
 
@@ -156,78 +168,91 @@ def _segmented(window: int, pieces: int):
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b = b.sort_values("doc", kind="stable")
-            docs, texts, known = b.doc.to_numpy("i8"), b.text.tolist(), list(b["at"])
+            b = b.drop_duplicates("row").sort_values("doc", kind="stable")
+            docs, keys, texts, known = b.doc.to_numpy("i8"), b.row.to_numpy("i8"), b.text.tolist(), list(b["at"])
             for rows, ids, row, base in _chunks(texts, docs):
                 first, last, at, anchor = segments(ids, row, window)
                 own = row[first]
                 places = [known[i] + base[k] for k, i in enumerate(rows)]
                 use = np.flatnonzero(np.isin(at, np.concatenate(places)))
+                doc, begin = docs[rows][own[use]], base[own[use]]
+                order = np.lexsort((at[use] - begin, doc))
+                use, doc, begin = use[order], doc[order], begin[order]
                 code = np.ascontiguousarray(ids[:, None].view("u1")[:, :CODE])
-                seen: set[bytes] = set()
-                heads, words, gone = [], [], []
-                for d, a, z, o, c in zip(docs[rows][own[use]].tolist(), first[use].tolist(), last[use].tolist(), base[own[use]].tolist(), anchor[use].tolist(), strict=True):
+                seen: dict[bytes, list[tuple]] = {}
+                gone = []
+                for d, t, k, a, z, o, c in zip(doc.tolist(), (at[use] - begin).tolist(), keys[rows][own[use]].tolist(), first[use].tolist(), last[use].tolist(), begin.tolist(), anchor[use].tolist(), strict=True):
                     w = code[a : z + window].tobytes()
-                    if w in seen:
-                        gone.append((d, a - o, z - o))
+                    same = seen.setdefault(w, [])
+                    if same and same[0][1:3] != (d, t):
+                        gone.append((k, a - o, z - o))
                     else:
-                        seen.add(w)
-                        heads.append((c, d, a - o, z - a + window))
-                        words.append(w)
+                        same.append((c, d, t, k, a - o, 0 if same else z - a + window))
                 if gone:
                     g = np.array(gone, "i8")
                     yield _facts(g[:, 0], _span(g[:, 1], g[:, 2]), pieces)
-                if heads:
-                    h = np.array(heads, HEAD)
+                if seen:
+                    h = np.array([x for same in seen.values() for x in same], HEAD)
+                    words = [w if k == 0 else b"" for w, same in seen.items() for k in range(len(same))]
                     found = [(p, np.int64(len(i)).tobytes() + h[i].tobytes() + b"".join(words[k] for k in i)) for p, (i,) in _by((h["anchor"] % U(pieces)).astype("i8"), np.arange(len(h)))]
                     yield _packs([m for _, m in found], [p for p, _ in found])
 
     return send
 
 
-def repeats(found: list[tuple[int, int, bytes]], window: int) -> list[tuple[int, int, int]]:
-    """Of one anchor's segments (doc, start, words): (doc, first, last) window starts whose words start earlier."""
-    out, seen, automaton = [], [], None
+def repeats(found: list[tuple[int, int, int, int, bytes]], window: int) -> list[tuple[int, int, int]]:
+    """Of one anchor's segments (doc, at, row, start, words): (row, first, last) window starts whose words start earlier."""
+    out, waiting, automaton = [], [], None
     known: set[bytes] = set()
-    for doc, start, words in sorted(found, key=lambda x: x[:2]):
-        n = len(words) // CODE
-        if words in known:
-            out.append((doc, start, start + n - window))
-            continue
-        known.add(words)
-        items = [words[i : i + CODE] for i in range(0, len(words), CODE)]
-        if seen:
-            if automaton is None:
-                automaton = SuffixAutomaton()
-                automaton.add(seen[0])
-            hit = [i - window + 1 for i, m in enumerate(automaton.statistics(items)) if m >= window]
-            for i in hit:
-                if out and out[-1][0] == doc and out[-1][2] == start + i - 1:
-                    out[-1] = (doc, out[-1][1], start + i)
-                else:
-                    out.append((doc, start + i, start + i))
-            automaton.add(items)
-        seen.append(items)
+    for _, tied in groupby(sorted(found, key=lambda x: x[:2]), key=lambda x: x[:2]):
+        new: dict[bytes, list[tuple[int, int]]] = {}
+        for _, _, row, start, words in tied:
+            if words in known:
+                out.append((row, start, start + len(words) // CODE - window))
+                continue
+            if words not in new:
+                hits = new[words] = []
+                if known:
+                    automaton = automaton or SuffixAutomaton()
+                    for items in waiting:
+                        automaton.add(items)
+                    waiting = []
+                    for i, m in enumerate(automaton.statistics(_items(words))):
+                        if m >= window:
+                            i -= window - 1
+                            if hits and hits[-1][1] == i - 1:
+                                hits[-1] = (hits[-1][0], i)
+                            else:
+                                hits.append((i, i))
+            out += [(row, start + a, start + z) for a, z in new[words]]
+        known.update(new)
+        waiting += [_items(words) for words in new]
     return out
 
 
+def _items(words: bytes) -> list[bytes]:
+    return [words[i : i + CODE] for i in range(0, len(words), CODE)]
+
+
 def _matched(window: int):
-    """A shard: all segments of its anchors; repeated windows by document."""
+    """A shard: all segments of its anchors; repeated windows by row."""
 
     def match(f: pd.DataFrame) -> pd.DataFrame:
         rest, packs = f[f.kind == 1], f["pack"][f.kind == 2]
-        by: dict[int, list[tuple[int, int, bytes]]] = {}
+        by: dict[int, list[tuple[int, int, int, int, bytes]]] = {}
         for p in packs:
             n = int(np.frombuffer(p[:8], "<i8")[0])
             at = 8 + n * HEAD.itemsize
-            for anchor, doc, start, words in np.frombuffer(p[8:at], HEAD).tolist():
-                by.setdefault(anchor, []).append((doc, start, p[at : at + words * CODE]))
+            for anchor, doc, place, row, start, words in np.frombuffer(p[8:at], HEAD).tolist():
+                if words:
+                    segment = p[at : at + words * CODE]
+                by.setdefault(anchor, []).append((doc, place, row, start, segment))
                 at += words * CODE
         gone = [x for found in by.values() if len(found) > 1 for x in repeats(found, window)]
         if not gone:
-            return rest
+            return _once(rest)
         g = np.array(gone, "i8")
-        return pd.concat([rest, _facts(g[:, 0], _span(g[:, 1], g[:, 2]))])
+        return _once(pd.concat([rest, _facts(g[:, 0], _span(g[:, 1], g[:, 2]))]))
 
     return match
 
@@ -243,24 +268,28 @@ def removed(spans: np.ndarray | None, n: int, window: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
+def row_key(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["doc_id"], docs["text"])
+
+
 def spans(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
-    """doc (doc_id, or LAST for null) and gone: first << 32 | last of each run of repeated windows, by their starts."""
+    """row (row_key()) and gone: first << 32 | last of each run of repeated windows, by their starts."""
     scratch = Scratch(spark, "substrings")
-    texts = parallel(spark, docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text"))
+    texts = parallel(spark, docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), row_key(docs).alias("row"), "text"))
     n = pieces(spark, docs, PIECE)
-    anchors = texts.mapInPandas(_anchored(window, n), SENT).groupBy("piece").applyInPandas(_repeated(), SENT)
-    places = scratch.write(anchors.select("doc", "value"), "anchors").groupBy("doc").agg(F.collect_list("value").alias("at"))
-    cut = texts.join(places.hint("shuffle_merge"), "doc").mapInPandas(_segmented(window, n), SENT).groupBy("piece").applyInPandas(_matched(window), SENT)
-    gone = scratch.write(cut.select("doc", "value"), "repeats")
-    return gone.groupBy("doc").agg(F.collect_list("value").alias("gone"))
+    anchors = texts.select("row", "text").mapInPandas(_anchored(window, n), SENT).groupBy("piece").applyInPandas(_repeated(), SENT)
+    places = scratch.write(anchors.select("row", "value"), "anchors").groupBy("row").agg(F.collect_list("value").alias("at"))
+    cut = texts.join(places.hint("shuffle_merge"), "row").mapInPandas(_segmented(window, n), SENT).groupBy("piece").applyInPandas(_matched(window), SENT)
+    gone = scratch.write(cut.select("row", "value"), "repeats")
+    return gone.groupBy("row").agg(F.collect_list("value").alias("gone"))
 
 
 SPANS = "__spans"  # a name that no table has
 
 
 def _joined(spark: SparkSession, docs: DataFrame, window: int) -> DataFrame:
-    found = spans(spark, docs, window=window).withColumnsRenamed({"doc": "__key", "gone": SPANS})
-    return docs.join(found, F.coalesce(docs["doc_id"], F.lit(LAST)) == F.col("__key"), "left").drop("__key")
+    found = spans(spark, docs, window=window).withColumnsRenamed({"row": "__key", "gone": SPANS})
+    return docs.join(found, row_key(docs) == F.col("__key"), "left").drop("__key")
 
 
 def _spans(part) -> list[np.ndarray | None]:

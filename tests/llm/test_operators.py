@@ -276,6 +276,41 @@ def test_substring_edges(spark, docs, empty):
     assert op5.apply(spark, empty).count() == 0 and op5.digest(spark, empty).count() == 0
 
 
+def cut_by_row(rows, window=20):
+    """A window goes if its words start at a smaller (doc_id, start) in any row; null ids are the largest."""
+    first, out = {}, []
+    places = [((i is None, i or 0), [tuple(words(t)[k : k + window]) for k in range(len(words(t)) - window + 1)], i, words(t)) for i, t in rows]
+    for key, windows, _, _ in places:
+        for k, w in enumerate(windows):
+            first[w] = min(first.get(w, (key, k)), (key, k))
+    for key, windows, i, w in places:
+        gone = {j for k, x in enumerate(windows) if first[x] < (key, k) for j in range(k, k + window)}
+        kept = [x for j, x in enumerate(w) if j not in gone]
+        out.append((i, len(w), len(gone), hashlib.sha256(b" ".join(kept)).hexdigest()))
+    return out
+
+
+def test_substring_rows_are_cut_each_by_itself(spark):
+    r = random.Random(11)
+    known, new, late = (text(60, r) for _ in range(3))
+    rows = [(1, known), (None, text(45, r) + " " + known), (None, text(200, r)), (None, None), (7, new), (7, new), (None, late), (None, late), (None, text(9, r) + " " + late)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x) for x in op5.digest(spark, d.repartition(3)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, cut_by_row(rows)))
+    assert sorted(x[1:3] for x in got if x[0] is None) == [(0, 0), (60, 0), (60, 0), (69, 60), (105, 60), (200, 0)]
+    assert sum(x.text == new for x in op5.apply(spark, d).collect()) == 2
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_substrings_with_shared_and_null_ids(spark, parts):
+    r = random.Random(12)
+    shared = [text(r.randint(18, 60), r) for _ in range(10)]
+    made = [" ".join(r.choice([text(r.randint(0, 30), r), r.choice(shared), r.choice(shared), "z " * r.randint(0, 50)]) for _ in range(r.randint(0, 6))) for _ in range(90)]
+    rows = [(r.choice([None, None, 3, 3, 4, *range(5, 40)]), r.choice([t, r.choice(made)])) for t in made for _ in range(2)]
+    got = op5.digest(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    assert sorted(str(tuple(x)) for x in got) == sorted(map(str, cut_by_row(rows)))
+
+
 def test_automaton_statistics():
     r = random.Random(6)
     for _ in range(60):
