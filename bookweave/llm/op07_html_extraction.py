@@ -9,7 +9,8 @@ subtree and keeping it with the best choices of its children.
 
 Text: character references decoded, white space in a block is one space, blocks are joined by one line feed.
 
-Defined results: null or empty html has an empty text; scripts, styles, the head and hidden templates never count;
+Defined results: null or empty html has an empty text; scripts, styles, titles, the head, hidden templates and text fields
+never count; formulas, drawings and the fallback text of media, frames and scripts are judged with the element around them;
 unclosed or stray tags are tolerated; repeated rows give equal texts; an empty table gives an empty result; extra
 columns are ignored.
 """
@@ -30,8 +31,8 @@ from .trees import BoostedTrees
 
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("head script style noscript template svg iframe object canvas audio video textarea title math".split())
-RAW = set("script style textarea title noscript iframe".split())
+UNSEEN = set("head script style template textarea title".split())
+RAW = set("script style textarea title".split())
 #: A start tag of the key closes an open element of the value.
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)

@@ -383,6 +383,16 @@ def test_extraction_edges(spark):
     assert op7.texts(spark, pages.limit(0)).count() == 0
 
 
+def test_formulas_and_fallback_texts_are_judged_like_their_surroundings(spark):
+    kept = ["<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "<svg><text>height in metres</text></svg>", "<object>a drawing of the tower</object>", "<canvas>a plot of heights</canvas>", "<audio>listen to the talk</audio>", "<video>watch the talk</video>", "<noscript>without scripts too</noscript>", "<iframe>see the other page</iframe>"]
+    text = "The tower was built in stone, and its height, as given by the builders, follows from "
+    rows = [(i, "u", f"<html><body><nav><noscript>menu without scripts</noscript><a href=/>Home</a></nav><article><h1>On towers</h1><p>{text}{x} in every part.<script>if (a<b) x()</script><textarea>typed</textarea></p><p>{text}this, with some more words in it.</p></article></body></html>") for i, x in enumerate(kept)]
+    got = {r.page_id: r.text for r in op7.texts(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, x in enumerate(kept):
+        words = "".join(x.replace("<", ">").split(">")[::2]).strip()
+        assert words in got[i] and "typed" not in got[i] and "if (" not in got[i] and "menu" not in got[i], (x, got[i])
+
+
 # --- 8
 
 
