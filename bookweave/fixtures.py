@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .operators import metadata as M
+from .scratch import Scratch
 from .session import ship
 
 SUBJECTS = ("Philosophy", "Theology", "Biography", "World history", "Geography", "Statistics", "Law", "Education", "Music", "Literature", "Science", "Medicine", "Agriculture", "Philosophy, Law", "Unlisted subject")
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A fact table: written once, so that what costs much is worked out once whatever reads it."""
+    return Scratch(spark, "facts").write(df, name)
+
+
 def barcode(c="doc_id"):
     return F.concat(F.lit("B"), F.lpad(F.col(c).cast("string"), 8, "0"))
 

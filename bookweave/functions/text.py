@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import unicodedata
+from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,15 +70,76 @@ def metrics(books: DataFrame, key: str = "barcode", text: str = "text") -> DataF
     )
 
 
-def tokens(books: DataFrame, *, target_llm: str = "default", tokenizer: str = "pieces4", counter=None) -> DataFrame:
-    """Tokens per book. counter: a function from an array of strings to counts (Arrow), in place of the default."""
+def tokens(books: DataFrame, *, target_llm: str = "default", tokenizer: str = "pieces4", counter: Callable[[list[str]], list[int]] | None = None) -> DataFrame:
+    """Tokens per book, 0 for blank text. counter: from texts to counts (Arrow), such as vocabulary()'s, in place of the default.
+
+    A tokenizer that looks across line ends counts page by page where books have text_by_page in place of text.
+    """
+    paged = "text_by_page" in books.columns
     if counter is not None:
-        count = F.pandas_udf(lambda s: pd.Series(counter(s.fillna("").tolist())), "long")(F.col("text"))
+        of = F.pandas_udf(lambda s: pd.Series([sum(counter([t for t in x if t])) for x in s] if paged else counter(s.fillna("").tolist())), "long")
+        blank = F.array_join("text_by_page", "") if paged else F.coalesce("text", F.lit(""))
+        count = F.when(F.trim(F.translate(blank, "\n\t\r", "")) != "", of(F.coalesce("text_by_page", F.array().cast("array<string>")) if paged else F.col("text")))
     else:
-        count = F.aggregate(words(F.coalesce("text", F.lit(""))), F.lit(0).cast("long"), lambda a, x: a + token_count(x))
+        count = F.aggregate(words(F.array_join("text_by_page", "\n") if paged else F.coalesce("text", F.lit(""))), F.lit(0).cast("long"), lambda a, x: a + token_count(x))
     return books.select("barcode", F.lit(target_llm).alias("target_llm"), F.lit(tokenizer).alias("tokenizer"), F.coalesce(count, F.lit(0)).cast("long").alias("count"))
 
 
+#: Fixed value: how byte-level vocabularies of 50,000 entries cut words.
+CUT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def vocabulary(path: str, pattern: str = CUT) -> Callable[[list[str]], list[int]]:
+    """A counter by a vocabulary file that every worker can read: ranks (.tiktoken), .json or a SentencePiece .model."""
+
+    def load():
+        if path.endswith(".tiktoken"):
+            import base64
+
+            import tiktoken
+
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            return lambda texts: [len(enc.encode_ordinary(t)) for t in texts]
+        if path.endswith(".model"):
+            import sentencepiece
+
+            sp = sentencepiece.SentencePieceProcessor(model_file=path)
+            return lambda texts: [len(x) for x in sp.encode(texts, num_threads=1)]
+        from tokenizers import Tokenizer
+
+        t = Tokenizer.from_file(path)
+        t.encode_special_tokens = True
+        return lambda texts: [len(e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]
+
+    def count(texts: list[str]) -> list[int]:
+        if path not in _counters:
+            _counters[path] = load()
+        return _counters[path](texts)
+
+    return count
+
+
+_counters: dict[str, Callable[[list[str]], list[int]]] = {}
+
+
+def grouped(number: Column) -> Column:
+    """Digits in groups of three, as captions show them."""
+    return F.format_number(number, 0)
+
+
+def slug(text: str) -> str:
+    """Lower-case letters, digits and underscores, everything else one hyphen: a file name of any text."""
+    plain = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
+    return re.sub(r"[-\s]+", "-", re.sub(r"[^\w\s-]+", " ", plain)).strip("-_")
+
+
+def time_slug(at: datetime | None = None) -> str:
+    """A moment to the minute, UTC, as a part of file names."""
+    return (at or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%d-%H-%M")
+
+
 def split_text(text: str, size: int) -> list[str]:
     """Pieces of up to size characters: cut at the best separator there is, packed greedily, trimmed, empty ones dropped."""
 

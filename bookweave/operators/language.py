@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..scratch import bounded
 
 #: Frequent words per language (fixed values); the default detector counts them.
 FREQUENT = {
@@ -35,7 +36,7 @@ def detections(books: DataFrame, languages: DataFrame, *, size: int = 768, detec
     c = T.chunks(books, size).withColumn("iso639_3", detect(F.col("chunk"), detector))
     c = c.withColumn("n", F.aggregate(T.words(F.col("chunk")), F.lit(0).cast("long"), lambda a, x: a + T.token_count(x)))
     by = c.groupBy("barcode", "iso639_3").agg(F.sum("n").alias("token_count"))
-    return shares(by).join(F.broadcast(languages.select(F.col("pt3").alias("iso639_3"), F.col("pt2b").alias("iso639_2b"))), "iso639_3", "left")
+    return shares(by).join(bounded(languages.select(F.col("pt3").alias("iso639_3"), F.col("pt2b").alias("iso639_2b"))), "iso639_3", "left")
 
 
 def shares(by: DataFrame) -> DataFrame:

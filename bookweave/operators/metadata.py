@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import LANGUAGES, PD_ACCESS, PD_CODES
+from ..schemas import BIBLIOGRAPHIC, PD_ACCESS, PD_CODES
+from ..scratch import bounded
 
 
 def known(c: str) -> Column:
@@ -26,14 +27,31 @@ def topic(catalogue: DataFrame) -> DataFrame:
     return catalogue.select("barcode", known("marc_subjects").alias("from_metadata"), F.when(known("marc_subjects").isNotNull(), "MARC Subjects").alias("metadata_source"))
 
 
-def iso639(spark, languages=LANGUAGES) -> DataFrame:
-    """The language dimension: a few hundred rows at most, so it may be broadcast."""
-    return spark.createDataFrame(list(languages), "pt1 string, pt2b string, pt3 string, name string")
+def iso639(spark: SparkSession, registry: str | None = None) -> DataFrame:
+    """The language dimension: two letters, bibliographic and terminological code, English name.
 
+    By default the languages with a two-letter code, as the JVM's locale data has them; or all of the standard's
+    registry file (lines of code|terminological code|two letters|English name|French name).
+    """
+    schema = "pt1 string, pt2b string, pt3 string, name string"
+    if registry is not None:
+        part = lambda i: F.nullif(F.trim(F.get(F.split("value", r"\|"), F.lit(i))), F.lit(""))
+        return spark.read.text(registry).select(part(2).alias("pt1"), F.translate(part(0), "\ufeff", "").alias("pt2b"), F.coalesce(part(1), F.translate(part(0), "\ufeff", "")).alias("pt3"), part(3).alias("name")).filter("pt2b rlike '^[a-z]{3}$'")
+    locale = spark.sparkContext._jvm.java.util.Locale
+    other = {t: b for b, t in BIBLIOGRAPHIC.items()}
+    rows = [(code, other.get(own.getISO3Language(), own.getISO3Language()), own.getISO3Language(), own.getDisplayLanguage(locale.ENGLISH)) for code in locale.getISOLanguages() for own in [locale.forLanguageTag(code)]]
+    return spark.createDataFrame(sorted({r[2]: r for r in rows if r[2]}.values()), schema)
 
-def main_language(catalogue: DataFrame, languages: DataFrame) -> DataFrame:
-    found = catalogue.join(F.broadcast(languages), catalogue["marc_language"] == languages["pt2b"], "left")
-    return found.select("barcode", F.col("pt2b").alias("from_metadata_iso639_2b"), F.col("pt3").alias("from_metadata_iso639_3"))
+
+def main_language(catalogue: DataFrame, languages: DataFrame, detected: DataFrame | None = None) -> DataFrame:
+    """The catalogue's language and, given language.main()'s answer, the detected one. Unknown codes are null."""
+    found = catalogue.join(bounded(languages), catalogue["marc_language"] == languages["pt2b"], "left")
+    d = found.select("barcode", F.col("pt2b").alias("from_metadata_iso639_2b"), F.col("pt3").alias("from_metadata_iso639_3"), F.when(F.col("pt2b").isNotNull(), "MARC Language").alias("metadata_source"))
+    if detected is None:
+        none = F.lit(None).cast("string")
+        return d.select("*", none.alias("from_detection_iso639_2b"), none.alias("from_detection_iso639_3"), none.alias("detection_source"))
+    d = d.join(detected.select("barcode", "from_detection_iso639_2b", "from_detection_iso639_3"), "barcode", "left")
+    return d.withColumn("detection_source", F.when(F.col("from_detection_iso639_3").isNotNull(), "detector"))
 
 
 def ocr_quality(catalogue: DataFrame) -> DataFrame:
@@ -54,14 +72,19 @@ def year(catalogue: DataFrame) -> DataFrame:
     return d.select("barcode", "year", to(10).alias("decade"), to(100).alias("century"), "source_field")
 
 
-def rights(catalogue_keys: DataFrame, records: DataFrame) -> DataFrame:
-    """records: barcode, htid, and a parsed rights document (struct ``doc`` of records and items). One row per book."""
+def rights(catalogue_keys: DataFrame, records: DataFrame, *, retrieved: str | None = None) -> DataFrame:
+    """records: barcode, htid, and a parsed rights document (struct ``doc`` of records and items). One row per book.
+
+    The reason comes from the MARC record that the item names. ``retrieved``: when the documents were fetched; default now.
+    """
     item = F.get(F.filter("doc.items", lambda i: F.lower(i["htid"]) == F.lower("htid")), F.lit(0))
     d = catalogue_keys.select("barcode").join(records.select("barcode", "htid", item.alias("i"), "doc"), "barcode", "left")
+    d = d.withColumn("xml", F.try_element_at("doc.records", F.col("i.fromRecord"))["marc-xml"])
     part = lambda a, n: F.expr(f"try_cast(substring(i.lastUpdate, {a}, {n}) as int)")
     return d.select(
-        "barcode", F.col("i.fromRecord").alias("from_record"), "htid", F.col("i.rightsCode").alias("rights_code"), part(1, 4).alias("last_update_year"), part(5, 2).alias("last_update_month"), part(7, 2).alias("last_update_day"),
-        F.nullif("i.enumcron", F.lit("")).alias("enumcron"), F.col("i.usRightsString").alias("us_rights_string"),
+        "barcode", F.col("i.fromRecord").alias("from_record"), "htid", F.col("i.rightsCode").alias("rights_code"), reason_code(F.col("xml"), "htid").alias("reason_code"),
+        part(1, 4).alias("last_update_year"), part(5, 2).alias("last_update_month"), part(7, 2).alias("last_update_day"), F.when(~F.lower("i.enumcron").isin("", "false"), F.col("i.enumcron")).alias("enumcron"), F.col("i.usRightsString").alias("us_rights_string"),
+        F.when(F.col("htid").isNotNull(), F.lit(retrieved).cast("timestamp") if retrieved else F.current_timestamp()).alias("retrieved_date"),
     )
 
 
@@ -97,7 +120,7 @@ def prompt(catalogue: DataFrame, languages: DataFrame, *, skip_topic: bool = Fal
     """A book's metadata as lines of text for a model; null where nothing is known."""
     line = lambda label, value, end="\n": F.when(F.coalesce(F.trim(value), F.lit("")) != "", F.concat(F.lit(label), value, F.lit(end)))
     spaced = lambda *c: F.concat(*(F.when(F.trim(F.coalesce(x, F.lit(""))) != "", F.concat(F.col(x), F.lit(" "))).otherwise("") for x in c))
-    d = catalogue.join(F.broadcast(languages.select(F.col("pt2b").alias("marc_language"), "name")), "marc_language", "left")
+    d = catalogue.join(bounded(languages.select(F.col("pt2b").alias("marc_language"), "name")), "marc_language", "left")
     parts = [line("Title: ", spaced("marc_title", "marc_title_remainder")), line("Author: ", spaced("marc_author_personal")), line("Year: ", F.col("marc_date_1")), line("Language: ", F.col("name"))]
     parts += [] if skip_topic else [line("Subject/Topic: ", F.col("marc_subjects"))]
     parts += [] if skip_genre else [line("Genre/Form: ", F.col("marc_genres"))]

@@ -63,6 +63,24 @@ def classified(rows: DataFrame, classifier: Callable[[pd.Series], pd.Series] | N
     return rows.withColumn("target_type", F.coalesce(prelabel(), guess))
 
 
+def sample(books: DataFrame, languages: DataFrame, words: DataFrame, is_pd: DataFrame, *, n: int, among: tuple[str, ...] = ("eng",), least: int = 1000, seed: int = 0) -> DataFrame:
+    """A seeded random sample of n open-access books of some languages with more than ``least`` words: barcode, page_number, set.
+
+    books: barcode, count_from_ocr. One random page each; 90 % of the books train, 10 % test, both rounded half to even,
+    and what rounding leaves over trains. The order is a hash of seed and barcode, the same on every cluster.
+    """
+    if n < 10:
+        raise ValueError("a training set takes ten books or more")
+    test = round(10 * n / 100)
+    train = max(round(90 * n / 100), n - test)
+    hashed = lambda salt: F.md5(F.concat(F.lit(f"{seed}{salt}"), "barcode"))
+    d = books.filter("count_from_ocr > 0").join(languages.filter(F.col("from_detection_iso639_3").isin(*among)).select("barcode"), "barcode", "left_semi")
+    d = d.join(words.filter(F.col("word_count") > least).select("barcode"), "barcode", "left_semi").join(is_pd.filter("is_pd").select("barcode"), "barcode", "left_semi")
+    d = d.select("barcode", "count_from_ocr", hashed("book").alias("_k")).orderBy("_k", "barcode").limit(n)
+    turn = F.row_number().over(Window.orderBy("_k", "barcode"))  # of n rows
+    return d.withColumn("_t", turn).select("barcode", (F.conv(F.substring(hashed("page"), 1, 8), 16, 10).cast("long") % F.col("count_from_ocr") + 1).cast("int").alias("page_number"), F.when(F.col("_t") <= train, "train").otherwise("test").alias("set"))
+
+
 def prompt_options() -> Column:
     """Types that a language model may choose from, by a line's place on its page and in the book."""
     total, page, line = F.col("total_pages"), F.col("page_number"), F.col("line_number")
@@ -77,6 +95,41 @@ def annotation_context(rows: DataFrame) -> DataFrame:
     return rows.withColumn("previous", F.when(F.col("line_number") > 2, F.lag("text").over(order))).withColumn("next", F.lead("text").over(order))
 
 
+def annotation_markup(language: str = "language") -> Column:
+    """What a language model reads of a line of annotation_context(): its place (one more than the numbers, as stored answers have it), the line and its neighbours."""
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
+    place = F.concat(F.lit("Page "), F.col("page_number") + 1, F.lit(" of "), "total_pages", F.lit(", Line "), F.col("line_number") + 1, F.lit(" of "), "total_lines", F.lit(", Language: "), F.coalesce(language, F.lit("None")))
+    near = lambda name, end: F.coalesce(F.concat(tag(name, F.col(name)), F.lit(end)), F.lit(""))
+    return F.concat(tag("context", place), F.lit("\n"), near("previous", "\n"), tag("current", F.col("text")), F.lit("\n"), near("next", ""))
+
+
+#: How a language model is asked; {types} are those of prompt_options().
+INSTRUCTIONS = (
+    "You classify lines of text that were scanned from books. <context> says where the line stands and the book's language, <current> is the line, "
+    "<previous> and <next> are its neighbours, if any. Answer with the one type that fits <current> best, and nothing else.\n\nTypes:\n{types}"
+)
+
+
+def annotation_prompt() -> Column:
+    head, tail = INSTRUCTIONS.split("{types}")
+    return F.concat(F.lit(head), F.concat_ws("\n", F.transform(prompt_options(), lambda t: F.concat(F.lit("- "), t))), F.lit(tail))
+
+
+def reply_type(reply: Column) -> Column:
+    """The type that a model's reply names: its first word of capitals; null where that is no type."""
+    said = F.regexp_extract(reply, r"\b(?:[A-Z]+_?)+\b", 0)
+    return F.when(said.isin(*LINE_TYPES), said)
+
+
+def labelled(rows: DataFrame, answer: Callable[[pd.DataFrame], pd.Series]) -> DataFrame:
+    """Lines of annotation_context() with target_type: rules where they can tell, else a model's answer.
+
+    answer: an Arrow function from (prompt, markup) to replies. Replies that name no type leave the line without one.
+    """
+    asked = F.pandas_udf(answer, "string")(F.struct(annotation_prompt().alias("prompt"), annotation_markup().alias("markup")))
+    return rows.withColumn("target_type", F.coalesce(prelabel(), reply_type(asked)))
+
+
 class _Line:
     __slots__ = ("text", "kind")
 
@@ -195,8 +248,8 @@ def without_heads(pages: list[str]) -> list[str]:
     return out
 
 
+#: Digits that a line end cut, and leading page numbers, tried in this order on the first ten characters.
 HYPHENATED_DIGITS = r"(?<![-\w])(\d+)[\-–—‒―]\s+(\w+)"
-#: Leading page numbers, tried in this order on the first ten characters.
 LEADING_NUMBERS = (r"[−–—-]\s*\d+\s*[−–—-]", r"[−–—-]\s*\d+", r"[0-9]+ ")
 
 
@@ -229,11 +282,32 @@ def postprocess(rows: DataFrame) -> DataFrame:
     return books.mapInPandas(fold, "barcode string, text_by_page array<string>, stats map<string,int>")
 
 
-def train_classifier(labelled: DataFrame, features: int = 1 << 16):
-    """An MLlib pipeline from line representation to type; labelled: lines with target_type."""
+def train_classifier(rows: DataFrame, features: int = 1 << 16):
+    """An MLlib pipeline from line representation to type; rows: labelled lines. Rows of the test set are left out."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
 
-    index = StringIndexer(inputCol="target_type", outputCol="label").fit(labelled)
-    return Pipeline(stages=[index, RegexTokenizer(inputCol="chunk", outputCol="words", pattern=r"\s+"), HashingTF(inputCol="words", outputCol="features", numFeatures=features), LogisticRegression(maxIter=20), IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)]).fit(labelled.withColumn("chunk", representation()))
+    own = rows.filter("target_type is not null and coalesce(set, 'train') = 'train'").select(representation().alias("chunk"), "target_type")
+    index = StringIndexer(inputCol="target_type", outputCol="label").fit(own)
+    stages = [RegexTokenizer(inputCol="chunk", outputCol="words", pattern=r"\s+"), HashingTF(inputCol="words", outputCol="features", numFeatures=features), LogisticRegression(maxIter=20), IndexToString(inputCol="prediction", outputCol="predicted_type", labels=index.labels)]
+    fitted = Pipeline(stages=stages).fit(index.transform(own))
+    return fitted
+
+
+def classified_by(model, rows: DataFrame) -> DataFrame:
+    """rows with target_type by a model of train_classifier()."""
+    d = model.transform(rows.withColumn("chunk", representation()))
+    return d.drop("chunk", "words", "features", "rawPrediction", "probability", "prediction", "target_type").withColumnRenamed("predicted_type", "target_type")
+
+
+def evaluation(model, rows: DataFrame) -> DataFrame:
+    """Per type of the test set: precision, recall, f1 and support, from one table of counts by (type, answer)."""
+    test = rows.filter("set = 'test' and target_type is not null").withColumnRenamed("target_type", "wanted")
+    counts = classified_by(model, test.withColumn("target_type", F.lit(None).cast("string"))).groupBy("wanted", F.col("target_type").alias("said")).agg(F.count("*").alias("n"))
+    hit = F.sum(F.when(F.col("wanted") == F.col("said"), F.col("n")).otherwise(0))
+    want = counts.groupBy(F.col("wanted").alias("target_type")).agg(F.sum("n").alias("support"), hit.alias("hit"))
+    gave = counts.groupBy(F.col("said").alias("target_type")).agg(F.sum("n").alias("given"))
+    d = want.join(gave, "target_type", "left").withColumn("precision", F.coalesce(F.col("hit") / F.col("given"), F.lit(0.0))).withColumn("recall", F.col("hit") / F.col("support"))
+    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0))
+    return d.select("target_type", "precision", "recall", f1.alias("f1"), "support")

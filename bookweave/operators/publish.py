@@ -60,3 +60,26 @@ def integrity(published: DataFrame, computed: DataFrame, key: str = "barcode_src
     found = both.agg(*differs, F.count_if(F.col("_c").isNull()).alias("(only published)"), F.count_if(F.col("_p").isNull()).alias("(only computed)"))
     names = [*columns, "(only published)", "(only computed)"]
     return found.select(F.explode(F.array(*(F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("different")) for n in names))).alias("x")).select("x.*")
+
+
+#: Columns of the simplified export, in order.
+EXPORTED = (
+    "Barcode", "Google Books Link", "Hathitrust Link", "MARC Control Number", "MARC Date 1", "MARC Date 2", "MARC Date Type", "MARC Language", "MARC LCCN", "MARC ISBN", "MARC OCLC Numbers", "MARC LC Call Number",
+    "MARC Author Personal", "MARC Author Corporate", "MARC Author Meeting", "MARC Title", "MARC Title Remainder", "MARC General Note", "MARC Subjects", "MARC Genres",
+    "Scanned Date", "Converted Date", "Downloaded Date", "Processed Date", "Analyzed Date", "OCR Date", "GRIN State", "GRIN Viewability", "GRIN Conditions", "GRIN Scannable", "GRIN Opted Out", "GRIN Tagging",
+    "GRIN Audit", "GRIN Material Error %", "GRIN Overall Error %", "GRIN Claimed", "GRIN OCR Analysis Score", "GRIN OCR GTD Score", "GRIN Digitization Method",
+)
+LINK = "https://babel.hathitrust.org/cgi/pt?id="
+
+
+def column_name(header: str) -> str:
+    """A header of the catalogue as a column of it."""
+    return header.strip().lower().replace(" ", "_").replace("%", "percent")
+
+
+def simplified(catalogue: DataFrame, is_pd: DataFrame | None = None, *, prefix: str = "") -> DataFrame:
+    """All EXPORTED columns under their headers; empty where the catalogue has no such column. Open-access books only, if is_pd is given."""
+    d = catalogue if is_pd is None else catalogue.join(is_pd.filter("is_pd").select("barcode"), "barcode", "left_semi")
+    link = F.concat(F.lit(f"{LINK}{prefix}."), F.lower("barcode")) if prefix else F.lit("")
+    value = lambda h: link if h == "Hathitrust Link" else F.col(column_name(h)) if column_name(h) in d.columns else F.lit(None).cast("string")
+    return d.select(*(value(h).alias(h) for h in EXPORTED))

@@ -56,7 +56,7 @@ def _(s, d):
 
 @query("main_language_metadata", "SELECT barcode, pt2b AS from_metadata_iso639_2b, pt3 AS from_metadata_iso639_3 FROM cat")
 def _(s, d):
-    return M.main_language(X.catalogue(s, d), X.languages(s))
+    return M.main_language(X.catalogue(s, d), X.languages(s)).select("barcode", "from_metadata_iso639_2b", "from_metadata_iso639_3")
 
 
 @query("topic_from_metadata", "SELECT barcode, topic AS from_metadata, CASE WHEN topic IS NOT NULL THEN 'MARC Subjects' END AS metadata_source FROM cat")
@@ -157,11 +157,11 @@ dg AS (SELECT hash, barcode FROM g4 WHERE hash IN (SELECT hash FROM g4 GROUP BY
 """
 
 
-def _groups(s, d):
-    c, b = X.catalogue(s, d), X.books(s, d)
-    lang = M.main_language(c, X.languages(s)).select("barcode", F.col("from_metadata_iso639_3").alias("from_detection_iso639_3"))
-    lengths = b.select("barcode", F.length(F.translate("text", " \n\t​-—", "")).alias("char_count_continuous"))
-    hashes = S.fingerprints(b)
+def _groups(s, d, hashes=None):
+    """The fingerprints, written once as the fact table they are, and the groups."""
+    lang = M.main_language(X.catalogue(s, d), X.languages(s)).select("barcode", F.col("from_metadata_iso639_3").alias("from_detection_iso639_3"))
+    lengths = X.books(s, d).select("barcode", F.length(F.translate("text", " \n\t​-—", "")).alias("char_count_continuous"))
+    hashes = X.stored(s, S.fingerprints(X.books(s, d)), "hashes") if hashes is None else hashes
     return hashes, D.groups(hashes, lang, lengths)
 
 
@@ -180,6 +180,13 @@ def _(s, d):
     return D.likely_duplicates(*_groups(s, d))
 
 
+@query("duplicate_classes", GROUP_SQL + "SELECT barcode, min(barcode) OVER (PARTITION BY hash) AS representative, count(*) OVER (PARTITION BY hash) AS members FROM dg")
+def _(s, d):
+    """Membership in place of lists: one row per book of a group."""
+    hashes, found = _groups(s, d)
+    return D.classes(hashes, X.stored(s, found, "groups")).join(found.select("barcode"), "barcode", "left_semi")
+
+
 @query("dedup_stats", GROUP_SQL + "SELECT *, with_hash - members + groups AS unique_texts FROM (SELECT count(*) AS with_hash, count(DISTINCT hash) AS unique_hashes FROM hs), (SELECT count(*) AS members, count(DISTINCT hash) AS groups FROM dg)")
 def _(s, d):
     return Q.dedup(*_groups(s, d))
@@ -328,15 +335,11 @@ def _(s, d):
     return Q.top(M.topic(X.catalogue(s, d)), "from_metadata")
 
 
-def _dictionary(s):
-    return s.createDataFrame(list(C.TOPICS.items()), "topic string, target_topic string")
-
-
 def _training(s, d):
-    return C.training_set(M.topic(X.catalogue(s, d)), _dictionary(s), benchmark=50, test=100, least=0)
+    return C.training_set(M.topic(X.catalogue(s, d)), C.dictionary(s), benchmark=50, test=100, least=0)
 
 
-TRAINING_SQL = ", dic AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in C.TOPICS.items()) + ") t(topic, target_topic)), tr AS (SELECT barcode, target_topic, row_number() OVER (ORDER BY md5(barcode || '0'), barcode) AS r FROM cat JOIN dic USING (topic)), ts AS (SELECT barcode, target_topic, CASE WHEN r <= 50 THEN 'benchmark' WHEN r <= 150 THEN 'test' ELSE 'train' END AS \"set\" FROM tr) "
+TRAINING_SQL = ", dic AS (SELECT * FROM (VALUES " + ", ".join("('" + a.replace("'", "''") + "', '" + b.replace("'", "''") + "')" for a, b in C.TOPICS.items()) + ") t(topic, target_topic)), tr AS (SELECT barcode, target_topic, row_number() OVER (ORDER BY md5(barcode || '0'), barcode) AS r FROM cat JOIN dic USING (topic)), ts AS (SELECT barcode, target_topic, CASE WHEN r <= 50 THEN 'benchmark' WHEN r <= 150 THEN 'test' ELSE 'train' END AS \"set\" FROM tr) "
 
 
 @query("topic_training_set", TRAINING_SQL + 'SELECT barcode, target_topic, "set" FROM ts')
@@ -443,33 +446,38 @@ def _(s, d):
 
 
 def _tables(s, d):
+    """Fact tables as the engine's own operators give them, each computed once and stored. Detections are the catalogue's languages, which SQL knows."""
     c, b = X.catalogue(s, d), X.books(s, d)
-    m = T.metrics(b)
+    m, n, p = X.stored(s, T.metrics(b), "metrics"), X.stored(s, X.tokens(s, d), "tokens"), X.stored(s, X.pages(s, d), "pages")
     none = lambda k="string": F.lit(None).cast(k)
-    lang = M.main_language(c, X.languages(s))
+    meta = M.main_language(c, X.languages(s))
+    lang = M.main_language(c, X.languages(s), meta.select("barcode", F.col("from_metadata_iso639_2b").alias("from_detection_iso639_2b"), F.col("from_metadata_iso639_3").alias("from_detection_iso639_3")))
+    hashes, found = _groups(s, d)
     return {
-        "catalogue": c, "is_pd": M.is_pd(c, "rights", rights=c.filter("htid is not null")), "token_count": X.tokens(s, d), "page_count": X.pages(s, d).select("barcode", F.size("text_by_page").alias("count_from_ocr")),
-        "main_language": lang.withColumn("from_detection_iso639_3", F.col("from_metadata_iso639_3")),
-        "language_detection": X.tokens(s, d).join(lang, "barcode").select("barcode", F.col("from_metadata_iso639_3").alias("iso639_3"), F.col("count").alias("token_count"), F.lit(100.0).alias("percentage_of_total")),
+        "catalogue": c, "is_pd": M.is_pd(c, "rights", rights=c.filter("htid is not null")), "token_count": n, "page_count": p.select("barcode", F.size("text_by_page").alias("count_from_ocr")), "main_language": lang,
+        "language_detection": n.join(meta, "barcode").select("barcode", F.col("from_metadata_iso639_3").alias("iso639_3"), F.col("count").alias("token_count"), F.lit(100.0).alias("percentage_of_total")),
         "topic_classification": M.topic(c).withColumn("from_detection", none()).withColumn("detection_confidence", none("double")), "genre_classification": M.genre(c), "ocr_quality": M.ocr_quality(c).withColumn("from_detection", none("int")),
-        "likely_duplicates": c.select("barcode", none("array<string>").alias("likely_duplicates")), "text_analysis": m, "ocr_postprocessing_text_analysis": m, "rights": c.filter("htid is not null"),
-        "pages": X.pages(s, d).select("barcode", F.col("text_by_page").alias("text_by_page_src"), F.col("text_by_page").alias("text_by_page_gen")),
+        "likely_duplicates": D.likely_duplicates(hashes, found), "text_analysis": m, "ocr_postprocessing_text_analysis": m, "rights": c.filter("htid is not null"),
+        "pages": p.select("barcode", F.col("text_by_page").alias("text_by_page_src"), F.col("text_by_page").alias("text_by_page_gen")),
     }
 
 
 @query(
     "published_row",
-    """SELECT barcode AS barcode_src, 'Title ' || doc_id || CASE WHEN doc_id % 4 = 0 THEN '' ELSE ' / a remainder' END AS title_src, 'Author ' || doc_id % 50 AS author_src, marc_date_1 AS date1_src, nullif(marc_date_2, '') AS date2_src,
-  n AS token_count_gen, pt3 AS language_src, topic AS topic_or_subject_src, genre AS genre_or_form_src, CASE WHEN doc_id % 6 = 0 THEN 'A note' END AS general_note_src, ocr_score AS ocr_score_src,
-  CASE WHEN n >= 1000 AND pt3 IS NOT NULL THEN pt3 END AS first_language, word_count AS words_src, ['a' || doc_id, 'b' || doc_id % 9] AS lccn, 'https://hdl.handle.net/2027/lib.b' || lpad(doc_id::VARCHAR, 8, '0') AS url, rights_code, '2024-03-04' AS last_check,
-  ceil(len(string_split(cat.text, chr(10))) / 5.0)::INT AS pages FROM cat JOIN tok USING (barcode) JOIN ta USING (barcode) WHERE is_pd AND n > 100""",
+    GROUP_SQL + """, dl AS (SELECT hash, list(barcode ORDER BY barcode) AS members FROM dg GROUP BY hash)
+SELECT cat.barcode AS barcode_src, 'Title ' || cat.doc_id || CASE WHEN cat.doc_id % 4 = 0 THEN '' ELSE ' / a remainder' END AS title_src, 'Author ' || cat.doc_id % 50 AS author_src, marc_date_1 AS date1_src, nullif(marc_date_2, '') AS date2_src,
+  n AS token_count_gen, pt3 AS language_src, pt3 AS language_gen, topic AS topic_or_subject_src, genre AS genre_or_form_src, CASE WHEN cat.doc_id % 6 = 0 THEN 'A note' END AS general_note_src, ocr_score AS ocr_score_src,
+  CASE WHEN n >= 1000 AND pt3 IS NOT NULL THEN pt3 END AS first_language, word_count AS words_src, ['a' || cat.doc_id, 'b' || cat.doc_id % 9] AS lccn, 'https://hdl.handle.net/2027/lib.b' || lpad(cat.doc_id::VARCHAR, 8, '0') AS url, rights_code, reason_code, '2024-03-04' AS last_check,
+  list_filter(members, lambda x: x <> cat.barcode) AS duplicates, ceil(len(string_split(cat.text, chr(10))) / 5.0)::INT AS pages
+FROM cat JOIN tok USING (barcode) JOIN ta USING (barcode) JOIN hs USING (barcode) LEFT JOIN dl USING (hash) WHERE is_pd AND n > 100""",
 )
 def _(s, d):
     r = P.rows(_tables(s, d))
     return r.select(
-        "barcode_src", "title_src", "author_src", "date1_src", "date2_src", "token_count_gen", "language_src", "topic_or_subject_src", "genre_or_form_src", "general_note_src", "ocr_score_src",
+        "barcode_src", "title_src", "author_src", "date1_src", "date2_src", "token_count_gen", "language_src", "language_gen", "topic_or_subject_src", "genre_or_form_src", "general_note_src", "ocr_score_src",
         F.get("language_distribution_gen", F.lit(0))["language"].alias("first_language"), F.col("text_analysis_gen.text_by_page_src.word_count").alias("words_src"), F.col("identifiers_src.lccn").alias("lccn"),
-        F.col("rights_ext.url").alias("url"), F.col("rights_ext.rights_code").alias("rights_code"), F.col("rights_ext.last_check").alias("last_check"), F.size("text_by_page_src").alias("pages"),
+        F.col("rights_ext.url").alias("url"), F.col("rights_ext.rights_code").alias("rights_code"), F.col("rights_ext.reason_code").alias("reason_code"), F.col("rights_ext.last_check").alias("last_check"),
+        F.col("likely_duplicates_barcodes_gen").alias("duplicates"), F.size("text_by_page_src").alias("pages"),
     )
 
 
@@ -487,6 +495,16 @@ def _(s, d):
     return d.select("barcode", "marc_date_1", "marc_date_2", F.concat(F.lit("https://hdl.handle.net/2027/lib."), F.lower("barcode")).alias("link"))
 
 
+@query(
+    "simplified_export",
+    "SELECT " + ", ".join(f"{ {'Barcode': 'barcode', 'Hathitrust Link': chr(39) + P.LINK + 'lib.' + chr(39) + ' || lower(barcode)', 'MARC Date 1': 'marc_date_1', 'MARC Date 2': 'marc_date_2', 'MARC Date Type': 'marc_date_type', 'MARC Language': 'pt2b'}.get(h, 'NULL::VARCHAR')} AS \"{h}\"" for h in P.EXPORTED) + " FROM cat WHERE is_pd",
+)
+def _(s, d):
+    """All 39 columns; the made-up catalogue has few of them under their own names."""
+    c = X.catalogue(s, d).select("barcode", "marc_date_1", "marc_date_2", "marc_date_type", "marc_language", "rights_code", "us_rights_string", "htid")
+    return P.simplified(c, M.is_pd(c, "rights", rights=c.filter("htid is not null")), prefix="lib")
+
+
 # --- life cycle and joins ---
 
 
@@ -531,8 +549,111 @@ def _(s, d):
     return o.groupBy("decade").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("statistics_sheet")
+@query(
+    "ocr_sample",
+    """, k AS (SELECT barcode, ceil(len(string_split(text, chr(10))) / 5.0)::INT AS pages, md5('0book' || barcode) AS k FROM cat JOIN ta USING (barcode) WHERE pt3 IN ('eng', 'fra') AND word_count > 100 AND is_pd),
+r AS (SELECT *, row_number() OVER (ORDER BY k, barcode) AS r FROM k)
+SELECT barcode, (('0x' || substr(md5('0page' || barcode), 1, 8))::BIGINT % pages + 1)::INT AS page_number, CASE WHEN r <= 22 THEN 'train' WHEN r <= 24 THEN 'test' ELSE 'train' END AS "set" FROM r WHERE r <= 24""",
+)
 def _(s, d):
+    """A random page of 24 books: round(21.6) train, round(2.4) test."""
     c = X.catalogue(s, d)
-    y, f = M.year(c), _facts(s, d)
-    return Q.sheet({"BOOKS": Q.books(f), "RIGHTS": Q.rights(f), "YEARS": Q.years(y), "CENTURIES": Q.by_century(y), "DECADES": Q.by_decade(y), "LANGUAGES": Q.count_by(M.main_language(c, X.languages(s)).filter("from_metadata_iso639_3 is not null"), "from_metadata_iso639_3"), "GENRES": Q.top(M.genre(c), "from_metadata"), "TOPICS": Q.top(M.topic(c), "from_metadata")})
+    lang = M.main_language(c, X.languages(s)).withColumn("from_detection_iso639_3", F.col("from_metadata_iso639_3"))
+    pages = X.pages(s, d).select("barcode", F.size("text_by_page").alias("count_from_ocr"))
+    return O.sample(pages, lang, T.metrics(X.books(s, d)), M.is_pd(c, "rights", rights=c.filter("htid is not null")), n=24, among=("eng", "fra"), least=100)
+
+
+@query(
+    "ocr_annotation_markup",
+    LINES_SQL + """, lc AS (SELECT *, CASE WHEN line_number > 2 THEN lag(text) OVER o END AS p, lead(text) OVER o AS f FROM li WINDOW o AS (PARTITION BY barcode, page_number ORDER BY line_number))
+SELECT lc.barcode, page_number, line_number, '<context>Page ' || (page_number + 1) || ' of ' || total_pages || ', Line ' || (line_number + 1) || ' of ' || total_lines || ', Language: ' || coalesce(pt3, 'None') || '</context>' || chr(10) ||
+  coalesce('<previous>' || p || '</previous>' || chr(10), '') || '<current>' || lc.text || '</current>' || chr(10) || coalesce('<next>' || f || '</next>', '') AS markup,
+  CASE WHEN page_number < 5 OR page_number > round_even(total_pages // 20 * 19, 0) OR line_number > 5 THEN 0 ELSE 1 END + CASE WHEN line_number > 5 AND line_number < round_even(total_lines // 4 * 3, 0) THEN 0 ELSE 1 END + 7 AS options
+FROM lc JOIN cat USING (barcode)""",
+)
+def _(s, d):
+    lang = M.main_language(X.catalogue(s, d), X.languages(s)).select("barcode", F.col("from_metadata_iso639_3").alias("language"))
+    rows = O.annotation_context(O.lines(X.pages(s, d))).join(lang, "barcode")
+    return rows.select("barcode", "page_number", "line_number", O.annotation_markup().alias("markup"), F.size(O.prompt_options()).alias("options"))
+
+
+def _sheet_sql() -> str:
+    """The sheet's sections, in order, over the made-up facts of _sheet_tables()."""
+    def one(source: str, **columns: str) -> str:
+        return f"SELECT unnest({list(columns)}) AS caption, unnest([{', '.join(f'({c})::DOUBLE' for c in columns.values())}]) AS value, NULL AS extra FROM {source}"
+
+    def by(source: str, key: str, **columns: str) -> str:
+        return " UNION ALL ".join(f"SELECT {key}::VARCHAR || ': {c}' AS caption, {v} AS value, {key}::VARCHAR AS extra FROM {source} GROUP BY {key}" for c, v in columns.items())
+
+    def plain(source: str, key: str, **columns: str) -> str:
+        return f"SELECT caption, value, NULL AS extra FROM ({by(source, key, **columns)})"
+
+    def count(source: str, key: str, more: str = "") -> str:
+        return f"SELECT {key} AS caption, count(*) AS value, NULL AS extra FROM {source} WHERE {key} IS NOT NULL {more} GROUP BY 1"
+
+    def bins(view: str, low: int) -> str:
+        return f"SELECT format('{{:,}}', start) || ' - ' || format('{{:,}}', \"end\") AS caption, n AS value, bin AS extra FROM (WITH {_histogram_sql(view, low)[2:]})"
+
+    top = lambda key: f"SELECT * FROM ({count('cat', key)} ORDER BY 2 DESC, 1 LIMIT 50)"
+    compared = {f"{c}_{x}": f"avg({c} * {k})" for c in Q.COMPARED for x, k in (("src", 1), ("gen", 2))}
+    facts = "(SELECT * FROM cat JOIN tok USING (barcode))"
+    pred = "(SELECT target_topic AS t, doc_id % 100 / 100 AS c FROM ts JOIN cat USING (barcode))"
+    parts = {
+        "BOOKS": one(facts, total="count(*)", with_scans="count(*)", with_text="count_if(n > 100)"),
+        "TOKEN COUNT": by("(SELECT 'default' AS l, n FROM tok)", "l", total="sum(n)", mean="avg(n)"),
+        "TOKEN DISTRIBUTION": bins("tok", 100),
+        "PAGE COUNT": one("pg", total="sum(n)", mean="avg(n)"),
+        "PAGE DISTRIBUTION": bins("pg", 10),
+        "MAIN LANGUAGE": one("cat", distinct_metadata="count(DISTINCT pt2b)", distinct_detection="count(DISTINCT pt3)", without_metadata="count_if(pt2b IS NULL)", without_detection="count_if(pt3 IS NULL)"),
+        "MAIN LANGUAGE FROM METADATA": count("cat", "pt2b"),
+        "MAIN LANGUAGE FROM DETECTION": count("cat", "pt3"),
+        "LANGUAGE DETECTION": one(f"(SELECT * FROM {facts} WHERE n > 1000)", distinct="count(DISTINCT pt3)"),
+        "LANGUAGE DETECTION TOKENS": f"SELECT pt3 AS caption, sum(n) AS value, NULL AS extra FROM {facts} WHERE n > 5000 GROUP BY 1",
+        "RIGHTS": one(facts, matched="count_if(has_rights)", without_code="count_if(NOT has_rights)", open_access="count_if(is_pd)", open_with_scans="count_if(is_pd)", open_with_text="count_if(is_pd AND n > 100)"),
+        "RIGHTS CODES": count("cat", "rights_code"),
+        "RIGHTS REASONS": count("cat", "upper(reason_code)"),
+        "YEARS": one("y", known="count_if(year < 2025)", unknown="count_if(year IS NULL)"),
+        "CENTURIES": count("y", "century", "AND year < 2030 AND century <> 0 AND century <= 2000"),
+        "DECADES": count("y", "decade", "AND decade <> 0 AND decade <= 2020"),
+        "OCR QUALITY": one("cat", mean_metadata="avg(ocr_score)", mean_detection="avg(ocr_score // 2)", without_metadata="count_if(ocr_score IS NULL)", without_detection="count_if(ocr_score IS NULL)"),
+        "OCR QUALITY BY DECADE": plain("(SELECT * FROM y JOIN cat USING (barcode) WHERE decade <> 0 AND decade <= 2020)", "decade", mean_metadata="avg(ocr_score)", mean_detection="avg(ocr_score // 2)"),
+        "DEDUPLICATION": one("(SELECT count(*) AS a, count(DISTINCT hash) AS b FROM hs), (SELECT count(*) AS c, count(DISTINCT hash) AS d FROM dg)", with_hash="a", unique_hashes="b", members="c", groups="d", unique_texts="a - c + d"),
+        "TEXT ANALYSIS": one("tz", **{c: f"avg({c})" for c in Q.MEANS}),
+        "GENRES": one("cat", with_value="count(genre)", distinct="count(DISTINCT genre)"),
+        "TOP GENRES": top("genre"),
+        "TOPICS FROM METADATA": one("cat", with_value="count(topic)", distinct="count(DISTINCT topic)"),
+        "TOP TOPICS FROM METADATA": top("topic"),
+        "TOPICS FROM DETECTION": one(pred, with_value="count(*)", distinct="count(DISTINCT t)", mean_confidence="avg(c)"),
+        "TOPICS FROM DETECTION BY TOPIC": by(pred, "t", books="count(*)", mean_confidence="avg(c)"),
+        "TOPIC TRAINING SETS": count("ts", '"set"'),
+        "TOPIC TRAINING SETS BY TOPIC": count("ts", "\"set\" || ': ' || target_topic"),
+        "OCR POSTPROCESSING": one("cat", books="count(*)"),
+        "OCR POSTPROCESSING LINES": count("lt", "k"),
+        "OCR TRAINING SETS": f"SELECT e || ': ' || t AS caption, (SELECT count(*) FROM lt WHERE lt.k = t AND lt.e = x.e) AS value, NULL AS extra FROM (SELECT unnest({list(LINE_TYPES)}) AS t), (SELECT unnest(['train', 'test']) AS e) x",
+        "COMPARED BY LANGUAGE": plain("(SELECT ta.*, pt3 FROM ta JOIN cat USING (barcode) WHERE pt3 IS NOT NULL)", "pt3", **compared),
+        "COMPARED BY DECADE": plain("(SELECT ta.*, decade FROM ta JOIN y USING (barcode) WHERE decade IS NOT NULL)", "decade", **compared),
+    }
+    views = f""", pg AS (SELECT ceil(len(string_split(text, chr(10))) / 5.0)::INT AS n FROM cat), lt AS (SELECT coalesce({RULES_SQL}, 'UNKNOWN') AS k, CASE WHEN line_number % 5 = 0 THEN 'test' ELSE 'train' END AS e FROM li),
+tz AS (SELECT *, word_count_unique / word_count * 100 AS word_type_token_ratio, bigram_count_unique / bigram_count * 100 AS bigram_type_token_ratio, trigram_count_unique / trigram_count * 100 AS trigram_type_token_ratio FROM ta) """
+    rows = (f"SELECT {i} AS ord, '{name}' AS section, caption::VARCHAR AS caption, round(value::DOUBLE, 5) AS value, extra::VARCHAR AS extra FROM ({sql})" for i, (name, sql) in enumerate(parts.items()))
+    return GROUP_SQL + TRAINING_SQL + LINES_SQL + views + " UNION ALL ".join(rows)
+
+
+def _sheet_tables(s, d):
+    t, c = _tables(s, d), X.catalogue(s, d)
+    hashes, found = _groups(s, d)
+    sets = _training(s, d)
+    told = sets.join(c.select("barcode", "doc_id"), "barcode").select("barcode", F.col("target_topic").alias("from_detection"), (F.col("doc_id") % 100 / 100).alias("detection_confidence"))
+    lines = X.stored(s, O.lines(X.pages(s, d)).select("barcode", F.coalesce(O.prelabel(), F.lit("UNKNOWN")).alias("target_type"), F.when(F.col("line_number") % 5 == 0, "test").otherwise("train").alias("set")), "lines")
+    per = lines.groupBy("barcode", "target_type").count().groupBy("barcode").agg(F.map_from_entries(F.collect_list(F.struct("target_type", F.col("count").cast("int")))).alias("stats"))
+    return t | {
+        "books": c, "rights_determination": t["rights"], "year_of_publication": M.year(c), "ocr_quality": M.ocr_quality(c).withColumn("from_detection", F.floor(F.col("from_metadata") / 2).cast("int")),
+        "scanned_text_simhash": hashes, "duplicate_groups": X.stored(s, found, "groups"), "topic_classification": M.topic(c).join(told, "barcode", "left"), "topic_classification_training_dataset": sets,
+        "ocr_postprocessing_text_analysis": t["text_analysis"].select("barcode", *((F.col(k) * 2).alias(k) for k in Q.COMPARED)), "ocr_postprocessed": per, "ocr_postprocessing_training_dataset": lines,
+    }
+
+
+@query("statistics_sheet", _sheet_sql())
+def _(s, d):
+    """All sections, over facts of which SQL can make up what detectors and classifiers say."""
+    return rounded(Q.sheet(Q.overview(_sheet_tables(s, d))), 5)

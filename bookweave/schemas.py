@@ -43,5 +43,8 @@ TABLES = {
     "ocr_postprocessing_training_dataset": "barcode string, page_number int, total_pages int, line_number int, total_lines int, text string, target_type string, set string",
 }
 
-#: ISO 639 codes this engine names: two letters, bibliographic, terminological, English name. More come as a parameter.
-LANGUAGES = (("en", "eng", "eng", "English"), ("fr", "fre", "fra", "French"), ("de", "ger", "deu", "German"), ("es", "spa", "spa", "Spanish"), ("it", "ita", "ita", "Italian"), ("la", "lat", "lat", "Latin"))
+#: ISO 639-2 codes whose bibliographic form (key) differs from the terminological one.
+BIBLIOGRAPHIC = {
+    "alb": "sqi", "arm": "hye", "baq": "eus", "bur": "mya", "chi": "zho", "cze": "ces", "dut": "nld", "fre": "fra", "geo": "kat", "ger": "deu",
+    "gre": "ell", "ice": "isl", "mac": "mkd", "mao": "mri", "may": "msa", "per": "fas", "rum": "ron", "slo": "slk", "tib": "bod", "wel": "cym",
+}

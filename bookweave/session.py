@@ -26,6 +26,7 @@ def ship(spark: SparkSession) -> None:
     # texts are large: smaller Arrow batches than Spark's default bound what a Python worker holds at a time
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     target = Path(tempfile.mkdtemp()) / "bookweave_package.zip"
     with zipfile.ZipFile(target, "w") as z:
         for p in sorted(root.rglob("*.py")):

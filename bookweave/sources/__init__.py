@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tarfile
+import uuid
 from collections.abc import Iterator
 from io import BytesIO
 
@@ -11,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import LINE_TYPES
+from ..scratch import hadoop, remove
+
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
     """A CSV catalogue, plain or gzip by its extension: a header, one line per volume, all values strings, names in snake case.
@@ -64,36 +68,122 @@ def rights(spark: SparkSession, path: str, prefix: str) -> DataFrame:
 
 
 def exclusions(spark: SparkSession, path: str) -> DataFrame:
+    """The exclusion list: one barcode a line."""
     return spark.read.text(path).select(F.trim("value").alias("barcode")).filter("barcode <> ''").distinct()
 
 
-def postprocessed(spark: SparkSession, path: str) -> DataFrame:
-    """Stored post-processed books; rows with unknown line types fail when they are read."""
-    from ..schemas import LINE_TYPES
+POSTPROCESSED = "barcode string, text_by_page array<string>, stats map<string,int>"
+
 
-    d = spark.read.schema("barcode string, text_by_page array<string>, stats map<string,int>").parquet(path)
+def postprocessed(spark: SparkSession, path: str, page_count: DataFrame | None = None) -> DataFrame:
+    """Stored post-processed books; rows with unknown line types, or another number of pages than page_count has, fail when they are read."""
+    d = spark.read.schema(POSTPROCESSED).parquet(path)
     known = F.forall(F.map_keys("stats"), lambda k: k.isin(*LINE_TYPES))
-    return d.withColumn("stats", F.when(known, F.col("stats")).otherwise(F.raise_error(F.lit("unknown line type"))))
+    d = d.withColumn("stats", F.when(known, F.col("stats")).otherwise(F.raise_error(F.lit("unknown line type"))))
+    if page_count is None:
+        return d
+    n = page_count.select("barcode", F.col("count_from_ocr").alias("_n"))
+    fits = F.col("_n").isNull() | (F.col("_n") == F.size("text_by_page"))
+    return d.join(n, "barcode", "left").withColumn("text_by_page", F.when(fits, F.col("text_by_page")).otherwise(F.raise_error(F.lit("another number of pages")))).drop("_n")
 
 
-# --- sinks ---
+def exists(spark: SparkSession, path: str) -> bool:
+    at, files = hadoop(spark, path)
+    return files.exists(at)
+
 
+def ready(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end: the marker that Spark's committer leaves."""
+    return exists(spark, f"{path}/_SUCCESS")
 
-def write_table(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+
+# --- sinks ---
 
 
-def write_records(df: DataFrame, path: str, *, with_text: bool = True) -> None:
-    """Published records in files of 100 rows with text, a million without; Spark numbers the files."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", 100 if with_text else 1_000_000).parquet(path)
+def replace(df: DataFrame, path: str) -> None:
+    """Write a table in place of the one at path, which df may read: the new one is written beside it first, then takes its name.
+
+    A run that fails while writing leaves the old table as it was. One that ends between the two renames leaves the old
+    table beside its place, from where recover() brings it back.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    new = f"{path}{NEW}{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(new)
+    except Exception:
+        remove(spark, new)
+        raise
+    at, files = hadoop(spark, path)
+    other = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+    if files.exists(at) and not files.rename(at, other(path + OLD)):
+        raise OSError(f"could not move {path}")
+    if not files.rename(other(new), at):
+        raise OSError(f"could not move {new} to {path}")
+    files.delete(other(path + OLD), True)
+
+
+NEW, OLD = ".new-", ".old"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring a table back whose replacement was cut off between its renames."""
+    at, files = hadoop(spark, path)
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + OLD)
+    if files.exists(old):
+        if files.exists(at):
+            files.delete(old, True)
+        else:
+            files.rename(old, at)
+
+
+def write_records(df: DataFrame, path: str, *, with_text: bool = True, skip: int = 0) -> int:
+    """Published records as train-00000-of-00010.parquet and so on, 100 rows a file with text, a million without.
+
+    Spark writes the files beside their place; then those from number ``skip`` on are renamed into it, so that a run cut
+    off there can be taken up. Returns the number of files.
+    """
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}{NEW}{uuid.uuid4().hex}"
+    try:
+        df.write.option("maxRecordsPerFile", 100 if with_text else 1_000_000).parquet(staged)
+        at, files = hadoop(spark, staged)
+        target = hadoop(spark, path)[0]
+        files.mkdirs(target)
+        found = sorted(f.getPath().getName() for f in files.listStatus(at) if f.getPath().getName().startswith("part-"))
+        kind = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for i, name in enumerate(found):
+            if i >= skip:
+                to = kind(target, f"train-{i:05}-of-{len(found):05}.parquet")
+                files.delete(to, False)
+                if not files.rename(kind(at, name), to):
+                    raise OSError(f"could not move {name}")
+    finally:
+        remove(spark, staged)
+    return len(found)
 
 
 def write_sheet(df: DataFrame, path: str) -> None:
     """A small report as one CSV file with a header."""
-    flat = [F.col(f.name) if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.to_json(f.name).alias(f.name) for f in df.schema]
+    flat = [F.col(f"`{f.name}`") if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.to_json(f.name).alias(f.name) for f in df.schema]
     df.select(*flat).coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
+def write_export(df: DataFrame, path: str) -> None:
+    """A large table as CSV files with headers, in as many files as it has partitions."""
+    df.write.mode("overwrite").csv(path, header=True, escape='"')
+
+
 def write_training_sets(df: DataFrame, path: str) -> None:
     """text, target as CSV, a folder per set."""
-    df.select("set", F.col("prompt").alias("text"), F.col("target_topic").alias("target")).write.mode("overwrite").partitionBy("set").csv(path, header=True)
+    df.select("set", F.col("prompt").alias("text"), F.col("target_topic").alias("target")).write.mode("overwrite").partitionBy("set").csv(path, header=True, escape='"')
+
+
+def save_model(model, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str):
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)

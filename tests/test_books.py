@@ -198,16 +198,3 @@ def test_stream(spark, tmp_path):
         (tmp_path / "in" / f"{k}.json").write_text("\n".join(json.dumps({"barcode": b, "text": t}) for b, t in rows))
         streaming.maintain(streaming.page_stream(spark, str(tmp_path / "in")), count, str(tmp_path / "t"), str(tmp_path / "c"), schema=schema).awaitTermination()
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "t" / "v0000000001")).collect()} == {("a", 3), ("b", 2)}
-
-
-def test_command_line(spark, tmp_path, monkeypatch):
-    from bookweave import cli
-
-    (tmp_path / "b1_ocr.jsonl").write_text('"one two"\n"three"\n')
-    (tmp_path / "catalogue.csv").write_text("Barcode,MARC Genres\nb1,Fiction\n")
-    out = str(tmp_path / "t")
-    assert cli.main(["setup", "build", "--in", str(tmp_path), "--out", out]) == 0
-    for command in (["analyze", "extract-genre"], ["analyze", "run-token-count"], ["analyze", "run-simhash"], ["process", "ocr"]):
-        assert cli.main([*command, "--in", out, "--out", out]) == 0
-    assert spark.read.parquet(f"{out}/token_count").first()["count"] == 4
-    assert cli.main(["setup", "ocr", "--in", out, "--out", out]) == 2
