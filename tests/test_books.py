@@ -179,7 +179,7 @@ def test_sources(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     d = spark.range(250).select(F.col("id").cast("string").alias("barcode"))
     sources.write_records(d.coalesce(1), str(tmp_path / "r"))
-    assert len(list((tmp_path / "r").glob("part-*.parquet"))) == 3
+    assert len(list((tmp_path / "r").glob("train-*.parquet"))) == 3
     sources.write_sheet(d, str(tmp_path / "s"))
     assert spark.read.csv(str(tmp_path / "s"), header=True).count() == 250
 
@@ -198,3 +198,47 @@ def test_stream(spark, tmp_path):
         (tmp_path / "in" / f"{k}.json").write_text("\n".join(json.dumps({"barcode": b, "text": t}) for b, t in rows))
         streaming.maintain(streaming.page_stream(spark, str(tmp_path / "in")), count, str(tmp_path / "t"), str(tmp_path / "c"), schema=schema).awaitTermination()
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "t" / "v0000000001")).collect()} == {("a", 3), ("b", 2)}
+
+
+def test_windowed_counts_as_a_stream(spark, tmp_path):
+    rows = [("2024-01-01 00:10:00", "view"), ("2024-01-01 00:50:00", "view"), ("2024-01-01 01:10:00", "click")]
+    events = spark.createDataFrame(rows, "ts string, event_type string").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.write.parquet(str(tmp_path / "in"))
+    stream = streaming.windowed_counts(spark.readStream.schema(events.schema).parquet(str(tmp_path / "in")))
+    q = stream.writeStream.outputMode("complete").format("memory").queryName("windowed").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r.window.start.hour, r.event_type, r["count"]) for r in spark.table("windowed").collect()) == [(0, "view", 2), (1, "click", 1)]
+
+
+def test_sessions_without_a_shared_folder_are_refused_on_a_cluster(spark, monkeypatch):
+    from bookweave import scratch
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(Session())
+    Context.master = "local[4]"
+    assert scratch.shared_folder(Session())
+
+
+def test_topic_sets_must_be_large_enough(spark):
+    sets = spark.createDataFrame([("a", "benchmark"), ("b", "test"), ("c", "train")], "barcode string, set string")
+    topics.require(sets, benchmark=1, test=1, train=1)
+    with pytest.raises(ValueError, match="train"):
+        topics.require(sets, benchmark=1, test=1, train=2)
+
+
+def test_duplicate_classes_are_linear(spark):
+    h = spark.createDataFrame([(f"b{i:02}", "1") for i in range(9)] + [("x", "2")], "barcode string, hash string")
+    got = dedup.classes(h, h.filter("hash = '1'")).collect()
+    assert len(got) == 9 and {(r.representative, r.members) for r in got} == {("b00", 9)}
