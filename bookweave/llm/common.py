@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import Scratch, bounded, remove, shared_folder  # noqa: F401 - what the operators share
 from ..session import ship
 
 #: A word is a run of characters other than space and U+0009..U+000D.
@@ -39,68 +38,31 @@ def byte_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/") if found else "/tmp/bookweave-checkpoints"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-class Scratch:
-    """Tables written to the shared folder: they cut lineage, survive lost executors and are read back as Parquet.
-
-    What a returned, still lazy DataFrame reads has to stay until the session ends; everything else is dropped
-    with ``drop`` as soon as the next table has been written.
-    """
-
-    def __init__(self, spark: SparkSession, what: str):
-        ship(spark)
-        self.spark, self.root = spark, f"{shared_folder(spark)}/bookweave/{what}-{uuid.uuid4().hex}"
-        self._n = 0
-        _open.append((spark, self.root))
-
-    def path(self, name: str) -> str:
-        self._n += 1
-        return f"{self.root}/{self._n:03d}-{name}"
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, df: DataFrame) -> None:
-        """Delete the files behind a table that write() returned."""
-        for root in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if root.startswith(self.root) or "bookweave/" in root:
-                remove(self.spark, root)
-
-
-_open: list[tuple[SparkSession, str]] = []
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, root in _open:
-        try:
-            remove(spark, root)
-        except Exception:  # noqa: BLE001 - the session may be gone already
-            continue
-
-
 def parallel(spark: SparkSession, df: DataFrame, *, per_core: int = 2) -> DataFrame:
     """Deal rows out when the input has fewer files than the cluster has cores, as a small table has."""
     cores = spark.sparkContext.defaultParallelism
     return df if len(df.inputFiles()) >= cores else df.repartition(cores * per_core)
 
 
-def bounded(df: DataFrame, rows: int = 500_000) -> DataFrame:
-    """Broadcast a table that has been written and counted as small enough; larger ones are joined by shuffling."""
-    return F.broadcast(df) if df.count() <= rows else df
+def free(name: str, df: DataFrame) -> str:
+    """A column name that df does not have, whatever its columns are called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def release() -> None:
+    """Give memory back that a Python worker holds but does not use; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _libc = None
 
 
 def pieces(spark: SparkSession, df: DataFrame, per_piece: int) -> int:

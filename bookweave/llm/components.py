@@ -21,12 +21,18 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = scratch.write(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")).withColumnRenamed("a", "node"), "hooks")
-        for _ in range(2):
-            hook = scratch.write(hook.join(hook.select(F.col("node").alias("p"), F.col("p").alias("pp")), "p").select("node", F.col("pp").alias("p")), "jumps")
+        # four hooks in a row, that is two pointer jumps
+        step = lambda c, to: hook.select(F.col("node").alias(c), F.col("p").alias(to))
+        far = hook.join(step("p", "p2"), "p").join(step("p2", "p3"), "p2").join(step("p3", "p4"), "p3")
+        hook, old = scratch.write(far.select("node", F.col("p4").alias("p")), "jumps"), hook
+        scratch.drop(old)
         to = lambda c: hook.select(F.col("node").alias(c), F.col("p").alias(f"{c}_p"))
-        edges = scratch.write(edges.join(to("a"), "a").join(to("b"), "b").select(F.least("a_p", "b_p").alias("a"), F.greatest("a_p", "b_p").alias("b")).filter("a < b").distinct(), "edges")
+        edges, old = scratch.write(edges.join(to("a"), "a").join(to("b"), "b").select(F.least("a_p", "b_p").alias("a"), F.greatest("a_p", "b_p").alias("b")).filter("a < b").distinct(), "edges"), edges
+        scratch.drop(old)
         if labels is None:
             labels = hook.withColumnRenamed("p", "label")
         else:
-            labels = scratch.write(labels.join(hook.select(F.col("node").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")), "labels")
+            labels, old = scratch.write(labels.join(hook.select(F.col("node").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")), "labels"), labels
+            scratch.drop(old)
+            scratch.drop(hook)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")) if labels is None else labels

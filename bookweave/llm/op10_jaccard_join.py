@@ -10,10 +10,14 @@ at least ``num / den``. The join is exact:
    (D is taken for the top of the band; a set near the lower end also visits the band below), and each (band, group,
    content) is a key. Equal keys make candidate edges to the smallest document of the key, never all pairs; the
    connected components of these edges are cells, and linked documents share a cell.
-3. In a cell each document is a point: its shingle counts by hash group. An R-tree over the points bounds the overlap
+3. Passages that many documents share chain unrelated texts into large cells. A document of a cell larger than a block
+   stays only if enough of its shingles (``num / den``, as a link needs) occur again in that cell; the others link with
+   nothing there. Those that stay are keyed again within their cell, by other groups, into smaller cells; and so on
+   while that takes half of their rows or more out of large cells.
+4. In a cell each document is a point: its shingle counts by hash group. An R-tree over the points bounds the overlap
    with a whole node by the sum of the smaller coordinates; surviving pairs are verified on the sets themselves.
-   Pairs that links already connect are skipped, unless ``every_pair`` asks for all. Cells larger than a block are
-   first cut by the points alone into what the bound connects.
+   join() verifies all of them; for components alone, pairs that links already connect are skipped. Cells still larger
+   than a block are first cut by the points alone into what the bound connects.
 
 The keys of a batch of documents are reduced to one entry per key before they are sent, so a frequent passage or a
 large group of copies sends one entry per batch, not per document. They travel packed, 16 bytes an entry. Cells larger
@@ -30,27 +34,24 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded, byte_words, parallel, pieces, table
+from .common import Scratch, bounded, byte_words, parallel, pieces, release, table
 from .components import components
 from .hashing import STEP, U, mixed, shingles
 
-RATIO = 1.5  # of neighbouring size bands
-PIECE = 3 << 20  # bytes of stored text whose keys go to one piece
+PIECE = 2 << 20  # bytes of stored text whose keys go to one piece
 HELD = 1 << 18  # shingles whose keys are met in a mapper before they are sent
 BLOCK, HUBS = 128, 8
 POINTS = 4096  # documents of a block when only points are compared
 GROUPS, LEAF = 64, 16  # coordinates of a point, points in a leaf
 EMPTY = U(0x5EED)
-BANDS = [1]
-while BANDS[-1] < 1 << 60:
-    BANDS.append(max(BANDS[-1] + 1, int(BANDS[-1] * RATIO)))
-BAND_STARTS = np.array(BANDS, "i8")
+SHRINK = 0.5  # large cells are keyed again while at most this share of their rows is left in large cells
 
 
 def layout(hi: int, lo: int, num: int, den: int) -> tuple[int, int, int]:
@@ -67,20 +68,30 @@ def layout(hi: int, lo: int, num: int, den: int) -> tuple[int, int, int]:
     return best
 
 
+@cache
+def bands(num: int, den: int) -> np.ndarray:
+    """Where size bands start. Neighbours stand as far apart as linked sizes can, so a linked pair is in one or two neighbouring bands."""
+    starts = [1]
+    while starts[-1] < 1 << 40:
+        starts.append(max(starts[-1] + 1, starts[-1] * den // num))
+    return np.array(starts, "i8")
+
+
 @cache
 def layouts(num: int, den: int) -> np.ndarray:
-    return np.array([layout(BANDS[i + 1] - 1, BANDS[i], num, den) if BANDS[i] < 1 << 40 else (0, 1, -1) for i in range(len(BANDS) - 1)], "i8")
+    starts = bands(num, den).tolist()
+    return np.array([layout(hi - 1, lo, num, den) for lo, hi in pairwise(starts)], "i8")
 
 
 def keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the sets and, for each key, the index of its set."""
     size = np.array([len(s) for s in sets], "i8")
-    band = np.searchsorted(BAND_STARTS, size, "right") - 1
-    table = layouts(num, den)
+    starts_at, table = bands(num, den), layouts(num, den)
+    band = np.searchsorted(starts_at, size, "right") - 1
     found, owners = [], []
     for step in (0, 1):
         own = band - step
-        hi = np.where(own >= 0, BAND_STARTS[np.maximum(own, 0) + 1] - 1, 0)
+        hi = np.where(own >= 0, starts_at[np.maximum(own, 0) + 1] - 1, 0)
         d, k, cut = table[np.maximum(own, 0)].T
         use = np.flatnonzero((own >= 0) & (d > 0) & (size > 0) & ((step == 0) | (num * size <= den * hi)))
         if not len(use):
@@ -132,21 +143,36 @@ def _columns(held: list) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     return np.array([d for d, _, _ in held], "i8"), [s for _, s, _ in held], np.array([f for _, _, f in held], "i8")
 
 
+def _print(shingles: np.ndarray) -> np.ndarray:
+    """A set's fingerprint, 128 bits."""
+    return np.array([mixed(shingles).sum(dtype="u8"), mixed(shingles ^ STEP).sum(dtype="u8")], "u8").view("i8")
+
+
+def _packed(key: np.ndarray, ident: np.ndarray, parts: int, *, flagged: bool = False, kind: int = 2) -> Iterator[pd.DataFrame]:
+    """Entries (key, ident) by piece of the key space. A key's lowest bit may be a flag, which deals nothing out."""
+    piece = ((key >> U(flagged)) % U(parts)).astype("i4")
+    order = np.argsort(piece, kind="stable")
+    if len(order):
+        cuts = np.flatnonzero(np.concatenate([[True], piece[order][1:] != piece[order][:-1]]))
+        packs = [np.stack([key[o], ident[o].view("u8")]).tobytes() for o in np.split(order, cuts[1:])]
+        yield _rows(kind, piece=piece[order][cuts], pack=packs)
+
+
+def _sent(key: np.ndarray, ident: np.ndarray, parts: int) -> Iterator[pd.DataFrame]:
+    """One entry per key of a batch, and the edges that the batch itself shows (kind 1)."""
+    key, ident, edges = stars(key, ident)
+    if len(edges):
+        yield _rows(1, a=edges[:, 0], b=edges[:, 1], piece=(edges[:, 1] % parts).astype("i4"))
+    yield from _packed(key, ident, parts)
+
+
 def _signed(n: int, num: int, den: int, parts: int):
     """Per document a row of kind 0 (set size, fingerprint), edges of kind 1, and packed keys by piece of kind 2."""
 
     def sent(docs: np.ndarray, sets: list[np.ndarray], fp: np.ndarray) -> Iterator[pd.DataFrame]:
         one = np.unique(fp, axis=0, return_index=True)[1]
         key, owner = keys([sets[i] for i in one], num, den)
-        key, doc, edges = stars(key, docs[one][owner])
-        if len(edges):
-            yield _rows(1, a=edges[:, 0], b=edges[:, 1], piece=(edges[:, 1] % parts).astype("i4"))
-        piece = (key % U(parts)).astype("i4")
-        order = np.argsort(piece, kind="stable")
-        if len(order):
-            cuts = np.flatnonzero(np.concatenate([[True], piece[order][1:] != piece[order][:-1]]))
-            packs = [np.stack([key[o], doc[o].view("u8")]).tobytes() for o in np.split(order, cuts[1:])]
-            yield _rows(2, piece=piece[order][cuts], pack=packs)
+        yield from _sent(key, docs[one][owner], parts)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[int, np.ndarray, tuple[int, int]]] = []  # of so many shingles that memory stays bounded
@@ -157,7 +183,7 @@ def _signed(n: int, num: int, den: int, parts: int):
             for i, t in enumerate(b.text):
                 s = shingles([w.lower() for w in byte_words(t)], n)
                 sizes[i] = len(s)
-                prints[i] = np.array([mixed(s).sum(dtype="u8"), mixed(s ^ STEP).sum(dtype="u8")], "u8").view("i8")
+                prints[i] = _print(s)
                 if known[i] and len(s):
                     held.append((docs[i], s, tuple(prints[i])))
                     size += len(s)
@@ -167,21 +193,94 @@ def _signed(n: int, num: int, den: int, parts: int):
             yield _rows(0, a=docs, n=sizes, fp1=prints[:, 0], fp2=prints[:, 1], piece=(np.arange(len(docs)) % parts).astype("i4")).assign(kind=np.where(known, 0, 3).astype("i4"))
         if held:
             yield from sent(*_columns(held))
+        release()
 
     return sign
 
 
 def _met(f: pd.DataFrame) -> pd.DataFrame:
     """All entries of a piece of the key space: edges between documents with equal keys. Other rows pass through."""
-    packs = [np.frombuffer(p, "u8").reshape(2, -1) for p in f["pack"][f.kind == 2]]
+    release()
     rest = f[f.kind != 2]
-    if not packs:
-        return rest
-    key, doc = np.concatenate(packs, 1)
+    key, doc = _unpacked(f["pack"][f.kind == 2])
     edges = stars(key, doc.view("i8"))[2]
     return pd.concat([rest, _rows(1, a=edges[:, 0], b=edges[:, 1])]) if len(edges) else rest
 
 
+def _some(b: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """row, cell and sets of a batch, about HELD shingles at a time."""
+    rows, cells, sets = b.row.to_numpy("i8"), b.cell.to_numpy("i8").view("u8"), [np.frombuffer(x, "u8") for x in b["set"]]
+    upto = np.cumsum([len(x) for x in sets]) // HELD
+    for own in np.split(np.arange(len(sets)), np.flatnonzero(np.diff(upto)) + 1):
+        yield rows[own], cells[own], [sets[i] for i in own]
+
+
+def _told(parts: int):
+    """Distinct (cell, shingle) of a batch, packed by piece (kind 2), and how many shingles of a row the batch itself repeats,
+    packed by the row's piece (kind 3).
+
+    An entry's lowest bit says that the shingle is known to be repeated and its row was counted for it.
+    """
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for rows, cells, sets in _some(b):
+                n = [len(x) for x in sets]
+                key = mixed(np.concatenate(sets) + np.repeat(cells, n) * STEP) >> U(1)
+                row = np.repeat(rows, n)
+                order = np.argsort(key, kind="stable")
+                key, row = key[order], row[order]
+                head = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+                again = ~head | np.append(~head[1:], False) if len(key) else head
+                counted, count = np.unique(row[again], return_counts=True)
+                if len(counted):
+                    yield from _packed(counted.view("u8"), count, parts, kind=3)
+                yield from _packed(key[head] << U(1) | again[head].astype("u8"), row[head], parts, flagged=True)
+        release()
+
+    return tell
+
+
+def _unpacked(packs) -> np.ndarray:
+    found = [np.frombuffer(p, "u8").reshape(2, -1) for p in packs]
+    return np.concatenate(found, 1) if found else np.zeros((2, 0), "u8")
+
+
+def _repeated(parts: int):
+    """A piece of the (cell, shingle) space: per row the number of its shingles that occur in another row of the cell, packed by the row's piece."""
+
+    def repeated(f: pd.DataFrame) -> pd.DataFrame:
+        release()
+        key, row = _unpacked(f["pack"][f.kind == 2])
+        key, known = key >> U(1), (key & U(1)).astype(bool)
+        _, group, met = np.unique(key, return_inverse=True, return_counts=True)
+        many = (met > 1) | (np.bincount(group, known, len(met)) > 0)
+        row, count = np.unique(row[many[group] & ~known], return_counts=True)
+        return pd.concat([f[f.kind == 3], *_packed(row, count, parts, kind=3)])
+
+    return repeated
+
+
+def _summed(f: pd.DataFrame) -> pd.DataFrame:
+    """A piece of the rows: each one's repeated shingles, one row each."""
+    row, count = _unpacked(f["pack"])
+    row, at = np.unique(row, return_inverse=True)
+    return _rows(1, a=row.view("i8"), n=np.bincount(at, count.astype("f8"), len(row)).astype("i8"))
+
+
+def _keyed_again(num: int, den: int, parts: int, salt: int):
+    """Edges and packed keys as in _signed, of rows within their cells; ``salt`` makes other groups of the shingles."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for rows, cells, sets in _some(b):
+                key, owner = keys([mixed(x ^ U(salt)) for x in sets], num, den)
+                yield from _sent(mixed(key + cells[owner] * STEP), rows[owner], parts)
+        release()
+
+    return sign
+
+
 class RTree:
     """Points are shingle counts by group. Bulk-loaded by size and then by the widest coordinate; two levels are enough for a block."""
 
@@ -258,7 +357,7 @@ def _verify(num: int, den: int, *, every_pair: bool = False, by_points: bool = F
     return verify
 
 
-SETS = "doc_id long, cell long, node long, fp1 long, fp2 long, set binary, point binary"
+SETS = "row long, cell long, node long, fp1 long, fp2 long, size long, set binary, point binary"
 LINKS = "a long, b long"
 
 
@@ -266,24 +365,29 @@ def _with_sets(n: int):
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [shingles([w.lower() for w in byte_words(t)], n) for t in b.text]
-            yield b.drop(columns="text").assign(set=[s.tobytes() for s in found], point=[point(s).tobytes() for s in found])
+            # of an id with several texts, the one that the row's fingerprint names
+            own = np.array([tuple(_print(s)) == p for s, p in zip(found, zip(b.fp1, b.fp2, strict=True), strict=True)], bool)
+            out = b.drop(columns="text").assign(size=np.array([len(s) for s in found], "i8"), set=[s.tobytes() for s in found], point=[point(s).tobytes() for s in found])
+            yield out[own].drop_duplicates("row")
+        release()
 
     return sets
 
 
 def _blocked(scratch: Scratch, rows: DataFrame, block: int) -> DataFrame:
-    """rows with the number of blocks of their cell and their own block; cells of one document go."""
+    """rows(row, cell, ...) with the number of blocks of their cell and their own block; cells of one row go."""
     counted = scratch.write(rows.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1").withColumn("blocks", F.ceil(F.col("m") / block).cast("int")).drop("m"), "cells")
-    return rows.join(bounded(counted), "cell").withColumn("block", F.pmod(F.xxhash64("doc_id", "fp1"), F.col("blocks")).cast("int"))
+    return rows.join(bounded(counted), "cell").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
 
 
-def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den: int = 10, every_pair: bool = False, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den: int = 10, every_pair: bool = True, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, links): doc_id, n_shingles, fp1, fp2, rep for each row, and verified links (a, b) between reps.
 
-    ``rep`` is the smallest doc_id with the same set. Links span the components; every_pair gives each linked pair of reps.
+    ``rep`` is the smallest doc_id with the same set. Each linked pair of reps is a link; without every_pair, only as
+    many as span the components.
     """
-    if not 3 * num >= 2 * den > num:
-        raise ValueError("the threshold must be from 2/3 to below 1")
+    if not den > num > 0:
+        raise ValueError("the threshold must be above 0 and below 1")
     scratch = scratch or Scratch(spark, "jaccard")
     texts = parallel(spark, docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text"))
     parts = pieces(spark, docs, PIECE)
@@ -295,11 +399,14 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     known = rows.join(classes, ["fp1", "fp2"], "left").select("doc_id", "n_shingles", "fp1", "fp2", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("rep")).alias("rep"))
     known = scratch.write(known, "documents")
     cells = components(scratch, found.filter("kind = 1").select("a", "b")).select(F.col("node").alias("doc_id"), F.col("label").alias("cell"))
+    scratch.drop(found)
     # one document of each class in a cell, where a cell has two classes or more
     delegates = known.filter("rep is not null").join(bounded(cells), "doc_id").groupBy("cell", "fp1", "fp2").agg(F.min("doc_id").alias("doc_id"), F.min("rep").alias("node"))
-    chosen = scratch.write(_blocked(scratch, scratch.write(delegates, "delegates"), BLOCK).select("doc_id", "cell", "node", "fp1", "fp2"), "chosen")
-    sets = scratch.write(docs.select("doc_id", "text").join(bounded(chosen), "doc_id").mapInPandas(_with_sets(n), SETS), "sets")
-    sets = _split(scratch, sets, num, den)
+    delegates = scratch.write(delegates.withColumn("row", F.xxhash64("cell", "fp1", "fp2")), "delegates")
+    chosen = scratch.write(_blocked(scratch, delegates, BLOCK).select("doc_id", "row", "cell", "node", "fp1", "fp2"), "chosen")
+    sets = docs.select("doc_id", "text").join(bounded(chosen), "doc_id").drop("doc_id").mapInPandas(_with_sets(n), SETS)
+    sets = scratch.write(sets, "sets")
+    sets = _split(scratch, _refined(scratch, sets, num, den, parts), num, den)
     verify = _verify(num, den, every_pair=every_pair)
     whole = sets.withColumn("group", F.col("node"))
     links = scratch.write(whole.filter("blocks = 1").groupBy("cell").applyInPandas(verify, LINKS), "links")
@@ -307,7 +414,7 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     if large.isEmpty():
         return known, links
     if every_pair:
-        pairs = _grid(large.withColumn("loose", F.lit(True))).groupBy("cell", "i", "j").applyInPandas(verify, LINKS).distinct()
+        pairs = _grid(scratch, large.withColumn("loose", F.lit(True))).applyInPandas(verify, LINKS).distinct()
         return known, links.unionAll(scratch.write(pairs, "links"))
     # each block with the cell's hubs
     hubs = scratch.write(_hubs(large), "hubs")
@@ -315,61 +422,100 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     first = scratch.write(large.unionAll(spread).groupBy("cell", "block").applyInPandas(verify, LINKS), "links")
     # the label that most documents of a cell have; all others are loose
     group = components(scratch, first).withColumnRenamed("node", "_node")
-    labelled = scratch.write(large.select("doc_id", "cell", "node", "fp1", "fp2").join(bounded(group), F.col("node") == F.col("_node"), "left").select("doc_id", "cell", "fp1", "fp2", F.coalesce("label", "node").alias("label")), "labelled")
+    labelled = scratch.write(large.select("row", "cell", "node").join(bounded(group), F.col("node") == F.col("_node"), "left").select("row", "cell", F.coalesce("label", "node").alias("label")), "labelled")
     main = scratch.write(labelled.groupBy("cell", "label").count().groupBy("cell").agg(F.max_by("label", F.struct("count", "label")).alias("main")), "main")
-    loose = scratch.write(labelled.join(bounded(main), "cell").select("doc_id", "fp1", "fp2", "cell", F.col("label").alias("group"), (F.col("label") != F.col("main")).alias("loose")), "loose")
-    grid = _grid(large.drop("group").join(bounded(loose), ["doc_id", "fp1", "fp2", "cell"]))
-    second = grid.groupBy("cell", "i", "j").applyInPandas(verify, LINKS)
-    return known, links.unionAll(first).unionAll(scratch.write(second, "links"))
+    loose = scratch.write(labelled.join(bounded(main), "cell").select("row", F.col("label").alias("group"), (F.col("label") != F.col("main")).alias("loose")), "loose")
+    grid = _grid(scratch, large.drop("group").join(bounded(loose), "row"))
+    return known, links.unionAll(first).unionAll(scratch.write(grid.applyInPandas(verify, LINKS), "links"))
+
+
+def _refined(scratch: Scratch, sets: DataFrame, num: int, den: int, parts: int) -> DataFrame:
+    """sets with smaller cells: rows of large cells that can't link there go, the others are keyed again within their cell.
+
+    Every round reads the rows of large cells alone. A shingle that a batch holds twice sends one entry of it, so a
+    passage in a third of all documents stays small.
+    """
+    place, left, turn = scratch.write(sets.select("row", "cell", "size").distinct(), "placed"), None, 0
+    while True:
+        large = scratch.write(place.groupBy("cell").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK), "large")
+        now = large.agg(F.sum("m")).first()[0] or 0
+        if not now or left is not None and now > SHRINK * left:
+            break
+        left, turn = now, turn + 1
+        own = scratch.write(place.join(bounded(large.select("cell")), "cell").select("row", "cell", "size"), "own")
+        told = sets.select("row", "set").join(bounded(own), "row").select("row", "cell", "set").mapInPandas(_told(parts), FOUND)
+        counts = told.groupBy("piece").applyInPandas(_repeated(parts), FOUND).groupBy("piece").applyInPandas(_summed, FOUND).select(F.col("a").alias("row"), "n")
+        able = scratch.write(own.join(counts, "row").filter(den * F.col("n") >= num * F.col("size")).select("row", "cell", "size"), "able")
+        signed = sets.select("row", "set").join(bounded(able.select("row", "cell")), "row").mapInPandas(_keyed_again(num, den, parts, turn), FOUND)
+        met = scratch.write(signed.groupBy("piece").applyInPandas(_met, FOUND).select("a", "b"), "met")
+        label = components(scratch, met).select(F.col("node").alias("row"), F.col("label").alias("cell"))
+        rest = place.join(bounded(large.select("cell")), "cell", "left_anti").select("row", "cell", "size")
+        new = scratch.write(rest.unionAll(able.drop("cell").join(bounded(label), "row").select("row", "cell", "size")), "placed")
+        for old in (place, own, able, met):
+            scratch.drop(old)
+        place = new
+    return sets if not turn else sets.drop("cell").join(bounded(place.select("row", "cell")), "row")
 
 
 def _split(scratch: Scratch, sets: DataFrame, num: int, den: int) -> DataFrame:
     """sets with blocks and block, after cells larger than a block are cut into what the bound on the points connects."""
-    blocked = scratch.write(_blocked(scratch, sets.select("doc_id", "cell", "node", "fp1", "fp2"), BLOCK), "blocked")
-    on = ["doc_id", "fp1", "fp2", "cell"]
-    large = blocked.filter("blocks > 1").select(*on)
+    blocked = scratch.write(_blocked(scratch, sets.select("row", "cell", "node"), BLOCK), "blocked")
+    large = scratch.write(blocked.filter("blocks > 1").select("row"), "large")
     if large.isEmpty():
-        return sets.join(bounded(blocked.drop("node")), on)
-    points = _blocked(scratch, sets.drop("set").join(bounded(large), on), POINTS).withColumn("group", F.col("node")).withColumn("loose", F.lit(True)).withColumn("set", F.lit(None).cast("binary"))
-    near = scratch.write(_grid(points, POINTS).groupBy("cell", "i", "j").applyInPandas(_verify(num, den, by_points=True), LINKS), "near")
+        return sets.drop("cell").join(bounded(blocked.drop("node")), "row")
+    points = _blocked(scratch, sets.drop("set").join(bounded(large), "row"), POINTS).withColumn("group", F.col("node")).withColumn("loose", F.lit(True)).withColumn("set", F.lit(None).cast("binary"))
+    near = scratch.write(_grid(scratch, points, POINTS).applyInPandas(_verify(num, den, by_points=True), LINKS), "near")
     cut = components(scratch, near).select(F.col("node").alias("_node"), "label")
-    again = sets.drop("set", "point").join(bounded(scratch.write(large, "large")), on, "left_semi").join(bounded(cut), F.col("node") == F.col("_node")).select("doc_id", "fp1", "fp2", "node", F.col("cell").alias("old"), F.col("label").alias("cell"))
-    again = _blocked(scratch, scratch.write(again, "again"), BLOCK).select("doc_id", "fp1", "fp2", "old", "cell", "blocks", "block")
-    settled = blocked.filter("blocks = 1").select("doc_id", "fp1", "fp2", F.col("cell").alias("old"), "cell", "blocks", "block")
-    placed = scratch.write(settled.unionAll(again), "placed")
-    return sets.withColumnRenamed("cell", "old").join(bounded(placed), ["doc_id", "fp1", "fp2", "old"]).drop("old")
+    again = blocked.join(bounded(large), "row", "left_semi").join(bounded(cut), F.col("node") == F.col("_node")).select("row", F.col("label").alias("cell"))
+    again = _blocked(scratch, scratch.write(again, "again"), BLOCK).select("row", "cell", "blocks", "block")
+    placed = scratch.write(blocked.filter("blocks = 1").select("row", "cell", "blocks", "block").unionAll(again), "placed")
+    return sets.drop("cell").join(bounded(placed), "row")
 
 
 def _hubs(large: DataFrame) -> DataFrame:
     """The HUBS documents of each large cell with the smallest hashes; partial aggregation keeps HUBS rows per task and cell."""
-    order = Window.partitionBy("cell").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = Window.partitionBy("cell").orderBy(F.xxhash64("row"), "row")
     return large.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= HUBS).drop("_r")
 
 
-def _grid(rows: DataFrame, block: int | None = None) -> DataFrame:
-    """Each pair of blocks of a cell of which one at least has loose documents; of two blocks, all their rows meet once.
+def _grid(scratch: Scratch, rows: DataFrame, block: int | None = None):
+    """Groups (cell, i, j): each pair of blocks of a cell of which one at least has loose documents.
 
-    Loose documents are dealt into blocks of their own, so that a few of them do not open all blocks.
+    Loose documents are dealt into blocks of their own, so that a few of them do not open all blocks. Pairs are dealt
+    out by themselves: a cell's pairs go to many tasks.
     """
-    counts = rows.groupBy("cell").agg(F.sum(F.col("loose").cast("int")).alias("n_loose"))
-    rows = rows.join(counts, "cell").filter("n_loose > 0").withColumn("loose_blocks", F.ceil(F.col("n_loose") / (block or BLOCK)).cast("int"))
-    rows = rows.withColumn("own", F.when(F.col("loose"), F.pmod(F.xxhash64("doc_id"), F.col("loose_blocks")).cast("int")).otherwise(F.col("loose_blocks") + F.col("block")))
+    counts = scratch.write(rows.groupBy("cell").agg(F.sum(F.col("loose").cast("int")).alias("n_loose"), F.bool_and("loose").alias("all_loose")).filter("n_loose > 0"), "counts")
+    rows = rows.join(bounded(counts), "cell").withColumn("loose_blocks", F.ceil(F.col("n_loose") / (block or BLOCK)).cast("int"))
+    rows = rows.withColumn("at", F.when(F.col("loose"), F.pmod(F.xxhash64("row"), F.col("loose_blocks")).cast("int")).otherwise(F.col("loose_blocks") + F.col("block")))
     # i is a block of loose documents; j any block from i on
     loose = F.sequence(F.lit(0), F.col("loose_blocks") - 1)
-    ends = F.transform(loose, lambda i: F.struct(F.least(i, "own").alias("i"), F.greatest(i, F.col("own")).alias("j")))
-    more = F.transform(F.sequence(F.lit(0), F.col("loose_blocks") + F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
-    pairs = F.explode(F.array_distinct(F.when(F.col("loose"), more).otherwise(ends)))
-    return rows.withColumn("at", pairs).select("cell", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "fp1", "fp2", "set", "point", "group")
+    ends = F.transform(loose, lambda i: F.struct(F.least(i, "at").alias("i"), F.greatest(i, F.col("at")).alias("j")))
+    every = F.transform(F.sequence(F.lit(0), F.col("loose_blocks") + F.when(F.col("all_loose"), 0).otherwise(F.col("blocks")) - 1), lambda j: F.struct(F.least("at", j).alias("i"), F.greatest(F.col("at"), j).alias("j")))
+    pairs = F.explode(F.array_distinct(F.when(F.col("loose"), every).otherwise(ends)))
+    met = rows.withColumn("pair", pairs).select("cell", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "node", "fp1", "fp2", "set", "point", "group")
+    return met.repartition("cell", "i", "j").groupBy("cell", "i", "j")
 
 
 def classes(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
     scratch = how.pop("scratch", None) or Scratch(spark, "jaccard")
-    known, links = join(spark, docs, scratch=scratch, **how)
+    known, links = join(spark, docs, scratch=scratch, every_pair=False, **how)
     label = bounded(components(scratch, links).withColumnRenamed("node", "rep"))
     return known.join(label, "rep", "left").select("doc_id", "n_shingles", F.coalesce("label", "rep", "doc_id").alias("component_id"))
 
 
+def degrees(known: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, rep and n_links for each row of join()'s documents: how many rows of other ids it links with, copies included.
+
+    Counted per class, so copies are not expanded into pairs.
+    """
+    size = known.filter("rep is not null").groupBy("rep").agg(F.count("*").alias("copies"))
+    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    near = both.join(size.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("near"))
+    counted = size.join(near, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    return known.join(counted, "rep", "left").select("doc_id", "rep", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def keep_one(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id; rows without words stay."""
     scratch = Scratch(spark, "jaccard")
@@ -386,3 +532,17 @@ def keep_one(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(spark, table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] END) AS g FROM d),
+n AS (SELECT doc_id, len(g)::BIGINT AS n FROM s),
+e AS (SELECT doc_id, hash(unnest(g)) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * met >= 90 * (x.n + y.n - met)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS node, b AS other FROM u UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.other),
+c AS (SELECT node, min(other) AS least FROM r GROUP BY node)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(c.least, doc_id)) AS component_id FROM n LEFT JOIN c ON node = doc_id
+"""
