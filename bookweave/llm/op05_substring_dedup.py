@@ -3,13 +3,16 @@
 A window is ``window`` consecutive words. A word goes when some window over it has the same words as a window that
 starts earlier (smaller doc_id, or same doc_id and smaller start). So some copy of every window stays.
 
-The reference is the corpus itself, so automata of all of it can't be broadcast: every task would need all words. It
-is cut into shards by content instead, and documents send each shard only what can match there:
+Two references. against() takes a given one of bounded size: automata of its shards are broadcast, documents stream past
+them for matching statistics, and maximal spans at or above the window go. For apply() and digest() the reference is the
+corpus itself, so automata of all of it can't be broadcast: every task would need all words. It is cut into shards by
+content instead, and documents send each shard only what can match there:
 
 1. Each window has an anchor, its 8-word run with the smallest hash, so equal windows have equal anchors. Anchors
    (one in seven words) are met by hash; those that occur once end here.
 2. For each anchor that occurs again a document sends the anchor's segment, the words under the windows that share it,
-   to the anchor's shard.
+   to the anchor's shard. Of a hot anchor, one that more than ``HOT`` batches of documents hold, it sends the windows one
+   by one instead, each to a shard of its own words, so that a phrase with many continuations is spread over all shards.
 3. A shard takes the segments of an anchor in corpus order, which is that of (doc_id, place of the anchor), for equal
    windows have it at the same word. Segments equal to an earlier one are repeats as a whole. The others are streamed
    through a suffix automaton of the segments before them: where the matching statistic reaches the window, the window
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -42,17 +46,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
-from .common import Scratch, byte_words, map_rows, parallel, pieces, table
+from .common import Scratch, bounded, byte_words, free, map_rows, parallel, pieces, release, table, word_count
 from .hashing import U, runs, word_ids
 
 WINDOW, ANCHOR = 20, 8
-PIECE = 3 << 20
+PIECE = 2 << 20
 CODE = 6  # bytes of a word within a segment
 LAST = (1 << 63) - 1  # stands for a null doc_id
-SENT = "kind int, piece int, row long, value long, pack binary"
+SENT = "kind int, piece int, row long, value long, anchor long, pack binary"
+HOT = 256  # batches that hold an anchor; a batch has about CHUNK words
 HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("row", "<i8"), ("start", "<i4"), ("n", "<i4")])  # n = 0: the words of the entry before
 MET = np.dtype([("anchor", "<u8"), ("row", "<i8"), ("at", "<i4")])
-CHUNK = 1 << 20  # words handled at a time
+CHUNK = 1 << 18  # words handled at a time
 
 
 def segments(ids: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -90,12 +95,13 @@ def _chunks(texts: list, docs: np.ndarray) -> Iterator[tuple[list[int], np.ndarr
 def _packs(pack: list[bytes], piece: list[int]) -> pd.DataFrame:
     """Rows of kind 2: packed entries for a piece."""
     none = np.zeros(len(pack), "i8")
-    return pd.DataFrame({"kind": np.full(len(pack), 2, "i4"), "piece": np.array(piece, "i4"), "row": none, "value": none, "pack": pack})
+    return pd.DataFrame({"kind": np.full(len(pack), 2, "i4"), "piece": np.array(piece, "i4"), "row": none, "value": none, "anchor": none, "pack": pack})
 
 
-def _facts(row: np.ndarray, value: np.ndarray, pieces: int = 1) -> pd.DataFrame:
-    """Rows of kind 1: one thing known of a row each."""
-    return pd.DataFrame({"kind": np.ones(len(row), "i4"), "piece": (row % pieces).astype("i4"), "row": row, "value": value.astype("i8"), "pack": np.full(len(row), None, object)})
+def _facts(row: np.ndarray, value: np.ndarray, pieces: int = 1, *, anchor: np.ndarray | None = None, kind: int = 1) -> pd.DataFrame:
+    """Rows of kind 1: one thing known of a row each, and the anchor it is known by. Kind 3: hot anchors."""
+    anchor = np.zeros(len(row), "i8") if anchor is None else anchor.view("i8")
+    return pd.DataFrame({"kind": np.full(len(row), kind, "i4"), "piece": (row % pieces).astype("i4"), "row": row, "value": value.astype("i8"), "anchor": anchor, "pack": np.full(len(row), None, object)})
 
 
 def _once(facts: pd.DataFrame) -> pd.DataFrame:
@@ -135,11 +141,12 @@ def _anchored(window: int, pieces: int):
                 head = np.concatenate([[True], key[1:] != key[:-1]])
                 again = ~head | np.append(~head[1:], False)
                 if again.any():
-                    yield _facts(own[again], at[again], pieces)
+                    yield _facts(own[again], at[again], pieces, anchor=key[again])
                 met = np.empty(int(head.sum()), MET)
                 met["anchor"], met["row"], met["at"] = key[head] << U(1) | again[head].astype("u8"), own[head], at[head]
                 found = [(p, m.tobytes()) for p, (m,) in _by((key[head] % U(pieces)).astype("i8"), met)]
                 yield _packs([m for _, m in found], [p for p, _ in found])
+        release()
 
     return send
 
@@ -148,17 +155,25 @@ def _repeated():
     """A piece of the anchors: positions of those that occur again, by row."""
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
-        rest, packs = f[f.kind == 1], f["pack"][f.kind == 2]
+        release()
+        rest, packs = _once(f[f.kind == 1]), f["pack"][f.kind == 2]
         if not len(packs):
-            return _once(rest)
+            return rest
         met = np.concatenate([np.frombuffer(p, MET) for p in packs])
         met = met[np.argsort(met["anchor"] >> U(1), kind="stable")]
         key, known = met["anchor"] >> U(1), met["anchor"] & U(1)
         head = np.concatenate([[True], key[1:] != key[:-1]])
         group = np.cumsum(head) - 1
-        many = (np.bincount(group) > 1) | (np.bincount(group, known) > 0)
-        out = met[many[group] & (known == 0)]
-        return _once(pd.concat([rest, _facts(out["row"], out["at"])]) if len(out) else rest)
+        count = np.bincount(group)
+        many = (count > 1) | (np.bincount(group, known) > 0)
+        new = many[group] & (known == 0)
+        hot = key[head][count > HOT]
+        found = [rest]
+        if new.any():
+            found.append(_facts(met["row"][new], met["at"][new], anchor=key[new]))
+        if len(hot):
+            found.append(_facts(np.zeros(len(hot), "i8"), np.zeros(len(hot), "i8"), anchor=hot, kind=3))
+        return pd.concat(found)
 
     return meet
 
@@ -173,8 +188,10 @@ def _segmented(window: int, pieces: int):
             for rows, ids, row, base in _chunks(texts, docs):
                 first, last, at, anchor = segments(ids, row, window)
                 own = row[first]
-                places = [known[i] + base[k] for k, i in enumerate(rows)]
-                use = np.flatnonzero(np.isin(at, np.concatenate(places)))
+                # of a hot anchor, each window is a segment under a key of its words
+                places, hot = (np.concatenate([(known[i] >> 1)[(known[i] & 1) >= k] + base[n] for n, i in enumerate(rows)]) for k in (0, 1))
+                first, last, at, anchor, own = _apart(first, last, at, anchor, own, np.isin(at, hot), ids, window)
+                use = np.flatnonzero(np.isin(at, places))
                 doc, begin = docs[rows][own[use]], base[own[use]]
                 order = np.lexsort((at[use] - begin, doc))
                 use, doc, begin = use[order], doc[order], begin[order]
@@ -196,10 +213,22 @@ def _segmented(window: int, pieces: int):
                     words = [w if k == 0 else b"" for w, same in seen.items() for k in range(len(same))]
                     found = [(p, np.int64(len(i)).tobytes() + h[i].tobytes() + b"".join(words[k] for k in i)) for p, (i,) in _by((h["anchor"] % U(pieces)).astype("i8"), np.arange(len(h)))]
                     yield _packs([m for _, m in found], [p for p, _ in found])
+        release()
 
     return send
 
 
+def _apart(first, last, at, anchor, own, hot, ids, window):
+    """Segments of hot anchors cut into their windows, whose words (20 runs of one) make their key."""
+    if not hot.any():
+        return first, last, at, anchor, own
+    n = np.where(hot, last - first + 1, 1)
+    of = np.repeat(np.arange(len(n)), n)
+    start = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    own_key = runs(ids, window)[start]
+    return start, np.where(hot[of], start, last[of]), at[of], np.where(hot[of], own_key, anchor[of]), own[of]
+
+
 def repeats(found: list[tuple[int, int, int, int, bytes]], window: int) -> list[tuple[int, int, int]]:
     """Of one anchor's segments (doc, at, row, start, words): (row, first, last) window starts whose words start earlier."""
     out, waiting, automaton = [], [], None
@@ -238,6 +267,7 @@ def _matched(window: int):
     """A shard: all segments of its anchors; repeated windows by row."""
 
     def match(f: pd.DataFrame) -> pd.DataFrame:
+        release()
         rest, packs = f[f.kind == 1], f["pack"][f.kind == 2]
         by: dict[int, list[tuple[int, int, int, int, bytes]]] = {}
         for p in packs:
@@ -278,22 +308,24 @@ def spans(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> Data
     texts = parallel(spark, docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), row_key(docs).alias("row"), "text"))
     n = pieces(spark, docs, PIECE)
     anchors = texts.select("row", "text").mapInPandas(_anchored(window, n), SENT).groupBy("piece").applyInPandas(_repeated(), SENT)
-    places = scratch.write(anchors.select("row", "value"), "anchors").groupBy("row").agg(F.collect_list("value").alias("at"))
+    anchors = scratch.write(anchors.select("kind", "row", "value", "anchor"), "anchors")
+    hot = bounded(scratch.write(anchors.filter("kind = 3").select("anchor", F.lit(1).alias("hot")), "hot"))
+    places = anchors.filter("kind = 1").join(hot, "anchor", "left").select("row", (F.col("value") * 2 + F.coalesce("hot", F.lit(0))).alias("value"))
+    places = places.groupBy("row").agg(F.collect_set("value").alias("at"))
     cut = texts.join(places.hint("shuffle_merge"), "row").mapInPandas(_segmented(window, n), SENT).groupBy("piece").applyInPandas(_matched(window), SENT)
     gone = scratch.write(cut.select("row", "value"), "repeats")
     return gone.groupBy("row").agg(F.collect_list("value").alias("gone"))
 
 
-SPANS = "__spans"  # a name that no table has
+def _joined(spark: SparkSession, docs: DataFrame, window: int) -> tuple[DataFrame, str]:
+    """docs with each row's spans, and the name of that column."""
+    key, name = free("row_key", docs), free("row_spans", docs)
+    found = spans(spark, docs, window=window).withColumnsRenamed({"row": key, "gone": name})
+    return docs.join(found, row_key(docs) == F.col(key), "left").drop(key), name
 
 
-def _joined(spark: SparkSession, docs: DataFrame, window: int) -> DataFrame:
-    found = spans(spark, docs, window=window).withColumnsRenamed({"row": "__key", "gone": SPANS})
-    return docs.join(found, row_key(docs) == F.col("__key"), "left").drop("__key")
-
-
-def _spans(part) -> list[np.ndarray | None]:
-    return [None if x is None else np.array(x, "i8") for x in part.column(SPANS).to_pylist()]
+def _spans(part, name: str) -> list[np.ndarray | None]:
+    return [None if x is None else np.array(x, "i8") for x in part.column(name).to_pylist()]
 
 
 def digest(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
@@ -301,7 +333,7 @@ def digest(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> Dat
 
     def summed(part) -> dict:
         out = {"n_words": [], "n_removed": [], "kept_sha256": []}
-        for text, gone in zip(part.column("text").to_pylist(), _spans(part), strict=True):
+        for text, gone in zip(part.column("text").to_pylist(), _spans(part, name), strict=True):
             words = byte_words(text)
             mask = removed(gone, len(words), window)
             kept = [w for w, x in zip(words, mask.tolist(), strict=True) if not x] if mask.any() else words
@@ -309,7 +341,8 @@ def digest(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> Dat
                 values.append(x)
         return out
 
-    return map_rows(_joined(spark, docs.select("doc_id", "text"), window), summed, "n_words long, n_removed long, kept_sha256 string", drop=("text", SPANS))
+    joined, name = _joined(spark, docs.select("doc_id", "text"), window)
+    return map_rows(joined, summed, "n_words long, n_removed long, kept_sha256 string", drop=("text", name))
 
 
 TOKEN = re.compile(rb"[ \t-\r]*[^ \t-\r]+")
@@ -327,14 +360,79 @@ def cut_text(text: str | None, gone: np.ndarray | None, window: int) -> str | No
 def apply(spark: SparkSession, docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """docs with the repeated spans cut out of text; n_chars, where there is one, follows."""
 
+    joined, name = _joined(spark, docs, window)
+
     def cut(part) -> dict:
-        return {"__cut": [cut_text(t, g, window) for t, g in zip(part.column("text").to_pylist(), _spans(part), strict=True)]}
+        return {"text": [cut_text(t, g, window) for t, g in zip(part.column("text").to_pylist(), _spans(part, name), strict=True)]}
 
-    out = map_rows(_joined(spark, docs, window), cut, "__cut string", drop=("text", SPANS)).withColumnRenamed("__cut", "text")
+    return _counted(map_rows(joined, cut, "text string", drop=("text", name)), docs)
+
+
+def _counted(out: DataFrame, docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
 
 
+REFERENCE_WORDS, SHARD_WORDS = 5_000_000, 50_000
+
+
+def against(spark: SparkSession, docs: DataFrame, reference: DataFrame, *, window: int = WINDOW, most: int = REFERENCE_WORDS) -> DataFrame:
+    """docs without spans of ``window`` words or more that occur in the texts of a reference, wherever they stand.
+
+    The reference is broadcast and must not have more than ``most`` words, or ValueError: a larger one belongs to the
+    corpus, as apply() takes it. Each worker builds the automata, of about SHARD_WORDS words each, once.
+    """
+    words = reference.agg(F.sum(word_count(F.col("text")))).first()[0] or 0
+    if words > most:
+        raise ValueError(f"the reference has {words} words, {most} can be broadcast")
+    texts = sorted(r.text for r in reference.select("text").filter("text is not null").distinct().collect())
+    sent, key = spark.sparkContext.broadcast(texts), uuid.uuid4().hex
+
+    def cut(part) -> dict:
+        if key not in _shards:
+            _shards.clear()
+            _shards[key] = automata(sent.value)
+        return {"text": [cut_text(t, matched(byte_words(t), _shards[key], window), window) for t in part.column("text").to_pylist()]}
+
+    return _counted(map_rows(parallel(spark, docs), cut, "text string", drop=("text",)), docs)
+
+
+_shards: dict[str, list[SuffixAutomaton]] = {}
+
+
+def automata(texts: list[str]) -> list[SuffixAutomaton]:
+    """Suffix automata of a reference, a new one after every SHARD_WORDS words or so."""
+    out, n = [], SHARD_WORDS
+    for t in texts:
+        if n >= SHARD_WORDS:
+            out.append(SuffixAutomaton())
+            n = 0
+        ids = word_ids(byte_words(t)).tolist()
+        out[-1].add(ids)
+        n += len(ids)
+    return out
+
+
+def matched(words: list[bytes], shards: list[SuffixAutomaton], window: int) -> np.ndarray | None:
+    """Spans of window starts whose words some shard holds."""
+    ids = word_ids(words).tolist()
+    longest = np.max([s.statistics(ids) for s in shards], axis=0) if shards and ids else np.zeros(0, "i8")
+    starts = np.flatnonzero(longest >= window) - window + 1
+    return _span(starts, starts) if len(starts) else None
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - {WINDOW} + 2)) AS k, w FROM d WHERE len(w) >= {WINDOW}),
+h AS (SELECT doc_id, k, md5(list_aggregate(w[k:k + {WINDOW - 1}], 'string_agg', ' ')) AS h FROM x),
+r AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY h ORDER BY doc_id, k) AS n FROM h) WHERE n > 1),
+g AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(k, k + {WINDOW})) AS p FROM r) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(coalesce(list_aggregate(CASE WHEN gone IS NULL THEN w ELSE list_select(w, list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i))) END, 'string_agg', ' '), '')) AS kept_sha256
+FROM d LEFT JOIN g ON g.doc_id = d.doc_id
+"""
