@@ -6,15 +6,13 @@ hosts by the share of their pages that rules allow and follows the links (person
 the share that rules block and runs against the links, to whoever links there. A host is blocked when its distrust
 exceeds its trust by more than ``threshold``.
 
-Two forms of the ranks: settle(), judge()'s default, gives what surfers see. Distrust is the part of a random surfer's
-personalised PageRank from the host that ends on blocked pages, trust the same against the links; so neither shrinks
-with the number of hosts linked, a host's own share is the least it has, and rounds go on until ``TOLERANCE``.
-propagate() deals a host's mass out over its links in ITERATIONS rounds; a linked host's mass then falls with the
-number of its links and rarely reaches the threshold. The registered query takes propagate(), as its SQL does.
+Distrust is the part of a random surfer's personalised PageRank from the host that ends on blocked pages, trust the same
+against the links; so neither shrinks with the number of hosts linked, and a host's own share is the least it has. Rounds
+go on until no rank is further than ``TOLERANCE`` from its limit.
 
 Everything is DataFrame code. Links are summed to one weighted edge per pair of hosts before anything is joined, so a
-host with a third of all pages or links is pre-aggregated; ranks are a row per host. Every second round (in settle()
-every round) is written to the shared folder, which cuts the lineage. Without edges the seeds are the fixed point and no round is run.
+host with a third of all pages or links is pre-aggregated; ranks are a row per host. Every round
+is written to the shared folder, which cuts the lineage. Without edges the seeds are the fixed point and no round is run.
 
 Defined results: a null url or one without ``://`` has an empty host and path, no rule, and the verdict of the empty
 host; null html has no links; repeated rows are judged alike; an empty table gives an empty result; extra columns are
@@ -23,7 +21,7 @@ ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +30,8 @@ from .common import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
-DAMPING, ITERATIONS, THRESHOLD = 0.85, 6, 0.5
-TOLERANCE = 1e-3  # of settle(): no rank is further than this from its limit
+DAMPING, THRESHOLD = 0.85, 0.5
+TOLERANCE = 1e-3
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
@@ -62,31 +60,7 @@ def edges(pages: DataFrame) -> DataFrame:
     return rows.select("src", F.explode("dsts").alias("dst")).filter("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("n"))
 
 
-def propagate(scratch: Scratch, seeds: DataFrame, links: DataFrame, *, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
-    """host, trust, distrust. A host without outgoing (for distrust: incoming) links keeps its own mass."""
-    ends = links.select(F.col("src").alias("host")).union(links.select(F.col("dst").alias("host"))).distinct()
-    nodes = seeds.join(ends, "host", "full").na.fill(0.0, ["seed_trust", "seed_distrust"])
-    out = links.groupBy("src").agg(F.sum("n").alias("n_out"))
-    into = links.groupBy("dst").agg(F.sum("n").alias("n_in"))
-    links = scratch.write(links.join(out, "src").join(into, "dst").select("src", "dst", (F.col("n") / F.col("n_out")).alias("go"), (F.col("n") / F.col("n_in")).alias("back")), "links")
-    nodes = nodes.join(out.select(F.col("src").alias("host"), F.lit(True).alias("links_out")), "host", "left").join(into.select(F.col("dst").alias("host"), F.lit(True).alias("linked_to")), "host", "left")
-    nodes = scratch.write(nodes, "nodes")
-    state = nodes.select("host", F.col("seed_trust").alias("trust"), F.col("seed_distrust").alias("distrust"))
-    for k in range(iterations):
-        go = links.join(state.select(F.col("host").alias("src"), "trust"), "src").groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("trust") * F.col("go")).alias("got"))
-        back = links.join(state.select(F.col("host").alias("dst"), "distrust"), "dst").groupBy(F.col("src").alias("host")).agg(F.sum(F.col("distrust") * F.col("back")).alias("blamed"))
-        new = nodes.join(state, "host").join(go, "host", "left").join(back, "host", "left")
-        state = new.select(
-            "host",
-            ((1 - damping) * F.col("seed_trust") + damping * (F.coalesce("got", F.lit(0.0)) + F.when(F.col("links_out").isNull(), F.col("trust")).otherwise(0.0))).alias("trust"),
-            ((1 - damping) * F.col("seed_distrust") + damping * (F.coalesce("blamed", F.lit(0.0)) + F.when(F.col("linked_to").isNull(), F.col("distrust")).otherwise(0.0))).alias("distrust"),
-        )
-        if k % 2 or k == iterations - 1:
-            state = scratch.write(state, f"ranks{k}")
-    return state
-
-
-def settle(scratch: Scratch, seeds: DataFrame, links: DataFrame, *, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+def propagate(scratch: Scratch, seeds: DataFrame, links: DataFrame, *, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """host, trust, distrust, each from 0 to 1 and at least the host's own share.
 
     Distrust is the mean of the hosts linked to, trust that of the hosts that link here, weighted by links. A round
@@ -112,7 +86,7 @@ def settle(scratch: Scratch, seeds: DataFrame, links: DataFrame, *, damping: flo
     return state
 
 
-def judge(spark: SparkSession, pages: DataFrame, *, rules: tuple[tuple[str, str], ...] = RULES, threshold: float = THRESHOLD, rank: Callable[[Scratch, DataFrame, DataFrame], DataFrame] = settle) -> DataFrame:
+def judge(spark: SparkSession, pages: DataFrame, *, rules: tuple[tuple[str, str], ...] = RULES, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust."""
     if len(rules) > 1000:
         raise ValueError("rules become one expression; at most 1000")
@@ -123,17 +97,17 @@ def judge(spark: SparkSession, pages: DataFrame, *, rules: tuple[tuple[str, str]
     share = lambda what: F.sum(F.when(F.col("said") == what, 1).otherwise(0)) / F.count("*")
     seeds = scratch.write(named.groupBy("host").agg(share("allow").alias("seed_trust"), share("block").alias("seed_distrust")), "seeds")
     links = scratch.write(edges(pages), "edges")
-    ranks = seeds.select("host", F.col("seed_trust").alias("trust"), F.col("seed_distrust").alias("distrust")) if links.isEmpty() else rank(scratch, seeds, links)
+    ranks = seeds.select("host", F.col("seed_trust").alias("trust"), F.col("seed_distrust").alias("distrust")) if links.isEmpty() else propagate(scratch, seeds, links)
     verdict = F.coalesce("said", F.when(F.col("distrust") - F.col("trust") > threshold, "block").otherwise("allow"))
     return named.join(ranks.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(spark, table(spark, sf_dir, "pages"), rank=propagate).select("page_id", "host", "path", "rule", "verdict")
+    return judge(spark, table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def _oracle() -> str:
-    """The same in SQL, the rounds written out one after the other."""
+    """The same in SQL, in as many rounds as the tolerance can take."""
     fits = " ".join(
         f"WHEN (host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}') THEN '{r}'"
         for r, _ in sorted(RULES, key=lambda r: (-len(r[0]), r[0]))
@@ -141,17 +115,9 @@ def _oracle() -> str:
     said = " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in RULES)
     url_host = lambda u: f"translate(regexp_extract(coalesce({u}, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
     link = LINK.replace("'", "''")
-    rounds = "s0 AS (SELECT host, seed_trust AS trust, seed_distrust AS distrust FROM n)"
-    for k in range(1, ITERATIONS + 1):
-        rounds += f""",
-g{k} AS (SELECT dst AS host, sum(trust * n / n_out) AS got FROM l JOIN s{k - 1} s ON s.host = l.src GROUP BY 1),
-b{k} AS (SELECT src AS host, sum(distrust * n / n_in) AS got FROM l JOIN s{k - 1} s ON s.host = l.dst GROUP BY 1),
-s{k} AS (SELECT n.host,
-  {1 - DAMPING} * seed_trust + {DAMPING} * (coalesce(g.got, 0) + CASE WHEN n.host IN (SELECT src FROM l) THEN 0 ELSE trust END) AS trust,
-  {1 - DAMPING} * seed_distrust + {DAMPING} * (coalesce(b.got, 0) + CASE WHEN n.host IN (SELECT dst FROM l) THEN 0 ELSE distrust END) AS distrust
-  FROM n JOIN s{k - 1} USING (host) LEFT JOIN g{k} g USING (host) LEFT JOIN b{k} b USING (host))"""
+    turns = math.ceil(math.log(TOLERANCE * (1 - DAMPING)) / math.log(DAMPING))
     return f"""
-WITH p AS (SELECT page_id, html, {url_host("url")} AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+WITH RECURSIVE p AS (SELECT page_id, html, {url_host("url")} AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 r AS (SELECT *, CASE {fits} END AS rule FROM p),
 v AS (SELECT *, CASE rule {said} END AS said FROM r),
 e AS (SELECT host AS src, unnest(list_distinct(list_transform(regexp_extract_all(coalesce(html, ''), '{link}', 1), lambda x: translate(x, '{UPPER}', '{LOWER}')))) AS dst FROM p),
@@ -160,9 +126,20 @@ l AS (SELECT *, sum(n) OVER (PARTITION BY src) AS n_out, sum(n) OVER (PARTITION
 q AS (SELECT host, count_if(said = 'allow') / count(*) AS seed_trust, count_if(said = 'block') / count(*) AS seed_distrust FROM v GROUP BY 1),
 n AS (SELECT host, coalesce(seed_trust, 0) AS seed_trust, coalesce(seed_distrust, 0) AS seed_distrust
       FROM q FULL JOIN (SELECT src AS host FROM c UNION SELECT dst FROM c) USING (host)),
-{rounds}
+k AS (SELECT n.host, seed_trust, seed_distrust FROM n),
+s AS (SELECT 0 AS turn, host, seed_trust, seed_distrust, seed_trust AS trust, seed_distrust AS distrust FROM k
+  UNION ALL
+  SELECT turn + 1, m.host, any_value(m.seed_trust), any_value(m.seed_distrust),
+    greatest(any_value(m.seed_trust), {1 - DAMPING} * any_value(m.seed_trust) + {DAMPING} * coalesce(sum(m.got), any_value(m.seed_trust))),
+    greatest(any_value(m.seed_distrust), {1 - DAMPING} * any_value(m.seed_distrust) + {DAMPING} * coalesce(sum(m.blamed), any_value(m.seed_distrust)))
+  FROM (
+    SELECT s.turn, s.host, s.seed_trust, s.seed_distrust, NULL::DOUBLE AS got, NULL::DOUBLE AS blamed FROM s
+    UNION ALL SELECT s.turn, l.dst, t.seed_trust, t.seed_distrust, s.trust * n / n_in, NULL FROM s JOIN l ON l.src = s.host JOIN k t ON t.host = l.dst
+    UNION ALL SELECT s.turn, l.src, t.seed_trust, t.seed_distrust, NULL, s.distrust * n / n_out FROM s JOIN l ON l.dst = s.host JOIN k t ON t.host = l.src) m
+  WHERE turn < {turns} AND EXISTS (SELECT 1 FROM l) GROUP BY turn, m.host),
+z AS (SELECT host, arg_max(trust, turn) AS trust, arg_max(distrust, turn) AS distrust FROM s GROUP BY host)
 SELECT page_id, v.host, path, rule, coalesce(said, CASE WHEN distrust - trust > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
-FROM v JOIN s{ITERATIONS} s ON s.host = v.host
+FROM v JOIN z USING (host)
 """
 
 
