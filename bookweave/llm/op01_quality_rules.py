@@ -4,8 +4,10 @@
    arrays; a text never leaves its row, so no shuffle depends on how long or how often repeated a text is.
 2. Sequential covering over the labelled rows: a rule is grown by the threshold condition with the largest information
    gain for label 0, pruned on rows that growing did not see, accepted while precise enough, and the rows it covers
-   are set aside before the next one. Each step is one grouped count by (feature, bin) over all labelled rows; the
-   driver sees features x bins counts, whatever the corpus.
+   are set aside before the next one. A rule grows while a condition gains; the list ends with the first rule that is
+   less precise than ``MIN_PRECISION`` on the pruning rows, or covers fewer of them than MIN_COVER or ``MIN_SHARE`` of
+   their bad ones, so it has at most some hundred rules and no cap of its own. Each step is one grouped count by
+   (feature, bin) over all labelled rows; the driver sees features x bins counts, whatever the corpus.
 3. The list becomes one ordered conditional expression over the counts.
 
 Defined results: null or empty text has zero counts and fails the base rule (fewer than 10 words); labels that are
@@ -26,7 +28,7 @@ from .common import BLANKS, Scratch, parallel, table
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 BINS = 16
-MAX_RULES, MAX_CONDITIONS, MIN_PRECISION, MIN_COVER, SLACK = 8, 3, 0.8, 5, 0.02
+MIN_PRECISION, MIN_COVER, MIN_SHARE, SLACK = 0.8, 5, 0.005, 0.02
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -104,13 +106,14 @@ def learn(labelled: DataFrame, names: list[str]) -> list[list[Condition]]:
     place = lambda n: reduce(lambda a, t: a + F.when(F.col(n) > t, 1).otherwise(0), edges[n], F.lit(0))
     binned = F.explode(F.array(*(F.struct(F.lit(n).alias("feature"), place(n).alias("bin")) for n in names)))
     rules: list[list[Condition]] = []
-    while len(rules) < MAX_RULES:
+    least = max(MIN_COVER, MIN_SHARE * (labelled.filter("part = 2 and bad = 1").count()))
+    while True:
         left = labelled.filter(~reduce(lambda a, b: a | b, map(holds, rules), F.lit(False)))
         rule: list[Condition] = []
-        while len(rule) < MAX_CONDITIONS:
+        while True:
             got = left.filter((F.col("part") < 2) & holds(rule)).select("bad", binned.alias("x")).groupBy("x.feature", "x.bin").agg(F.sum("bad").alias("p"), F.count("*").alias("n")).collect()
-            best, gain = _best(got, edges)
-            if best is None or gain <= 1e-9:
+            best = _best(got, edges)
+            if best is None:
                 break
             rule.append(widen(left.filter((F.col("part") < 2) & holds(rule)), best))
         if not rule:
@@ -119,14 +122,14 @@ def learn(labelled: DataFrame, names: list[str]) -> list[list[Condition]]:
         seen = left.filter("part = 2").agg(*(F.sum(F.when(holds(r), F.col("bad"))).alias(f"p{k}") for k, r in enumerate(prefixes)), *(F.sum(F.when(holds(r), 1)).alias(f"n{k}") for k, r in enumerate(prefixes))).first()
         worth = [(((seen[f"p{k}"] or 0) + 1) / ((seen[f"n{k}"] or 0) + 2), -k, seen[f"n{k}"] or 0) for k in range(len(rule))]
         precision, k, n = max(worth)
-        if precision < MIN_PRECISION or n < MIN_COVER:
+        if precision < MIN_PRECISION or n < least:
             return rules
         rules.append(prefixes[-k])
     return rules
 
 
-def _best(got: list, edges: dict[str, list[float]]) -> tuple[Condition | None, float]:
-    """The condition with the largest information gain from counts by feature and bin.
+def _best(got: list, edges: dict[str, list[float]]) -> Condition | None:
+    """The condition with the largest information gain from counts by feature and bin, if any gains.
 
     Among thresholds of that feature and direction whose gain is within ``SLACK`` of it, the most cautious one, which
     covers the fewest rows.
@@ -147,11 +150,13 @@ def _best(got: list, edges: dict[str, list[float]]) -> tuple[Condition | None, f
                 if pp and MIN_COVER <= nn < n0:
                     gains.setdefault((f, op), []).append((pp * (math.log2(pp / nn) - math.log2(p0 / n0)), nn, t))
     if not gains:
-        return None, 0.0
+        return None
     f, op = max(gains, key=lambda k: max(gains[k])[0])
     most = max(gains[f, op])[0]
+    if most <= 1e-9:
+        return None
     _, t = min((nn, t) for gain, nn, t in gains[f, op] if gain >= (1 - SLACK) * most)
-    return (f, op, t), most
+    return (f, op, t)
 
 
 def widen(rows: DataFrame, condition: Condition) -> Condition:
@@ -179,7 +184,7 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.select(F.col("doc_id").alias("_id"), (1 - F.col("quality")).cast("long").alias("bad")).filter("bad in (0, 1)")
     # the rows that the base rule drops anyway teach nothing
     labelled = scored.filter(~base_failed()).join(known, F.col("doc_id") == F.col("_id")).select(*said, "bad", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part"))
-    labelled = scratch.write(labelled.coalesce(32), "labelled")
+    labelled = scratch.write(labelled, "labelled")
     rules = learn(labelled, list(said))
     verdict, name = decide(rules)
     return scored.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict).withColumn("rule", F.when(F.col("base_failed"), "base").otherwise(name))
