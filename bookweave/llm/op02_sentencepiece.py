@@ -7,16 +7,21 @@ compared from the last piece backwards.
 
 No piece crosses from other characters into the white-space mark, and some characters (the line feed) are in no piece,
 so the lattice falls into chunks, and these into parts between characters that are neighbours in no piece; both recur
-all over a corpus. Workers remember each one's best segmentation and its gap to the second best. The N best of a document then differ from its best in at most N-1 chunks, those with the
-smallest gaps (earlier ones first among equals), and an A-star search over these chunks' own N-best lists combines
-them. Ties between documents' segmentations are ordered by the chunks' ranks compared from the last chunk backwards.
+all over a corpus. Workers remember each one's best segmentation and its gap to the second best. The N best of a document
+then differ from its best in at most N-1 chunks, those with the smallest gaps (earlier ones first among equals), and an
+A-star search over these chunks' own N-best lists combines them; long chunks are put together from their parts in the
+same way. Ties between documents' segmentations are ordered by the chunks' ranks compared from the last chunk backwards.
+
+A part longer than ``SHORT`` characters is searched by sidetracks: a hypothesis is a segmentation that follows its
+parent's back to some place and Viterbi's best from there, so its whole score is known when it is queued and only N are
+kept; memory is some 40 bytes a character. There, ties are ordered by where they leave their parent, from the end.
 
 Normalisation is the identity with a dummy space in front; characters without a piece become byte pieces. Decoding is
 exact, except that the white-space mark U+2581 itself decodes to a space, as the format has it.
 
 Defined results: null and empty texts have no pieces, score 0 and one segmentation; repeated rows are encoded alike;
 memory is bounded by the memo (``MEMO`` chunks) and one document; an empty table gives an empty result; extra columns
-are ignored by segment() and kept by encode().
+are ignored by segment() and kept by encode(), those called ids or n_tokens under the next free name (ids_, n_tokens_).
 """
 
 from __future__ import annotations
@@ -24,16 +29,19 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_rows, parallel, table
+from .common import free, map_rows, parallel, table
 
 MARK = "▁"
 MEMO, LONGEST = 150_000, 48  # some 0.3 KB an entry; four such generations at most
 LISTS = 20_000  # chunks whose N best are remembered
+SHORT = 256  # characters of a part whose hypotheses may hold their ids
 UNKNOWN_PENALTY = 10.0  # below the smallest score of the vocabulary
 NBEST = 4
 
@@ -91,6 +99,8 @@ class Vocabulary:
 
     def nbest(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """(score, ids) of the n best segmentations: A-star from the end, the forward scores as heuristic."""
+        if len(chunk) > SHORT:
+            return self.sidetracked(chunk, n)
         edges = self.edges(chunk)
         forward = self.forward(edges)
         queue: list[tuple[float, tuple, int, float]] = [(-forward[-1], (), len(chunk), 0.0)]
@@ -104,11 +114,70 @@ class Vocabulary:
                 heapq.heappush(queue, (-(forward[i] + s + score), (*back, ids), i, s + score))
         return found
 
+    def edges_to(self, chunk: str, j: int) -> Iterator[tuple[int, int, float]]:
+        """(from, id or -1 for bytes, score) of the pieces that end at j."""
+        for i in range(max(0, j - self.longest), j):
+            if found := self.pieces.get(chunk[i:j]):
+                yield i, found[0], found[1]
+            elif i == j - 1:
+                yield i, -1, self.unknown
+
+    def ids_of(self, chunk: str, at: int, piece: int) -> list[int]:
+        return [piece] if piece >= 0 else [self.bytes[b] for b in chunk[at].encode("utf-8", "surrogatepass")]
+
+    def sidetracked(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """nbest() of a long part. A hypothesis: (loss, its parent, where it leaves the parent's way, the edge taken there)."""
+        first, _, piece, start = self.viterbi(chunk)
+        queue: list[tuple] = [(0.0, 0, 0, 0, 0, None)]
+        found: list[tuple] = []
+        while queue and len(found) < n:
+            hypothesis = heapq.heappop(queue)
+            found.append(hypothesis)
+            loss, at = hypothesis[0], hypothesis[4] if hypothesis[5] else len(chunk)
+
+            def aside(at=at, loss=loss, turn=len(found)):
+                """What leaves this way behind the place where it became its own: nearest to the end first."""
+                while at:
+                    for i, ident, score in self.edges_to(chunk, at):
+                        if (i, ident) != (start[at], piece[at]):
+                            yield loss + first[at] - (first[i] + score), turn, len(chunk) - at, ident, i, (hypothesis, at)
+                    at = start[at]
+
+            left = n - len(found)
+            queue = heapq.nsmallest(left, heapq.merge(sorted(queue, key=_order), heapq.nsmallest(left, aside(), key=_order), key=_order), key=_order)
+        return [self._spelled(chunk, h, piece, start) for h in found]
+
+    def _spelled(self, chunk: str, hypothesis: tuple, piece, start) -> tuple[float, tuple[int, ...]]:
+        """Score and ids of a hypothesis, its way followed from the end."""
+        turns = {}
+        while hypothesis[5]:
+            parent, at = hypothesis[5]
+            turns[at] = (hypothesis[4], hypothesis[3])
+            hypothesis = parent
+        at, back, total = len(chunk), [], 0.0
+        while at:
+            i, ident = turns.get(at) or (start[at], piece[at])
+            back.extend(reversed(self.ids_of(chunk, i, ident)))
+            total = (self.unknown if ident < 0 else self.pieces[chunk[i:at]][1]) + total
+            at = i
+        return total, tuple(reversed(back))
+
     def best(self, chunk: str) -> tuple[float, float, list[int]]:
         """Best score, gap to the second best (infinite if there is none), and the best's ids: forward Viterbi alone."""
+        first, second, piece, start = self.viterbi(chunk)
+        ids, at = [], len(chunk)
+        while at:
+            i = start[at]
+            ids.extend([piece[at]] if piece[at] >= 0 else reversed(self.ids_of(chunk, i, -1)))
+            at = i
+        return first[-1], first[-1] - second[-1], ids[::-1]
+
+    def viterbi(self, chunk: str) -> tuple:
+        """By end position: best score, second best score, the best's last piece (-1: bytes), and where that begins."""
         n, get = len(chunk), self.beginnings.get
-        first, second = [-np.inf] * (n + 1), [-np.inf] * (n + 1)
-        piece, start = [0] * (n + 1), [0] * (n + 1)  # the last piece's id (-1: bytes) and where it begins
+        first, second, piece, start = [-np.inf] * (n + 1), [-np.inf] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        if n > SHORT:  # the same, in less memory
+            first, second, piece, start = array("d", first), array("d", second), array("i", piece), array("i", start)
         first[0] = 0.0
         for i in range(n):
             here, there = first[i], second[i]
@@ -137,18 +206,17 @@ class Vocabulary:
                     second[j] = old if old > score else score
                 elif score > second[j]:
                     second[j] = score
-        ids, at = [], n
-        while at:
-            i = start[at]
-            ids.extend([piece[at]] if piece[at] >= 0 else [self.bytes[b] for b in reversed(chunk[i].encode("utf-8", "surrogatepass"))])
-            at = i
-        return first[n], first[n] - second[n], ids[::-1]
+        return first, second, piece, start
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "surrogatepass")
         return text.removeprefix(" ")
 
 
+def _order(hypothesis: tuple) -> tuple:
+    return hypothesis[:4]
+
+
 class _Memo(dict):
     """What has been worked out per chunk. When full, the entries become the older generation, from which those in use return."""
 
@@ -183,16 +251,30 @@ class Segmenter:
         if found is None:
             if len(self.lists) >= LISTS:
                 self.lists.clear()
-            found = self.lists[chunk, n] = self.vocabulary.nbest(chunk, n)
+            found = self._parted(chunk, n) if len(chunk) > LONGEST else self.vocabulary.nbest(chunk, n)
+            if len(chunk) <= LONGEST:
+                self.lists[chunk, n] = found
         return found
 
-    def _chunk(self, chunk: str) -> tuple[float, float, bytes]:
-        """No piece crosses two characters that stand side by side in none, so the chunk falls into parts there."""
+    def _parted(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """A long chunk's n best, put together from its parts'."""
+        parts = self._cut(chunk)
+        if len(parts) == 1:
+            return self.vocabulary.nbest(chunk, n)
+        at = [self.parts[p] for p in parts]
+        return [(score, tuple(ids.tolist())) for score, ids in self._joined(parts, at, n, self.vocabulary.nbest)]
+
+    def _cut(self, chunk: str) -> list[str]:
         pairs = self.vocabulary.pairs
         cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in pairs]
-        if not cuts:
+        return [chunk[a:b] for a, b in pairwise((0, *cuts, len(chunk)))]
+
+    def _chunk(self, chunk: str) -> tuple[float, float, bytes]:
+        """No piece crosses two characters that stand side by side in none, so the chunk falls into parts there."""
+        parts = self._cut(chunk)
+        if len(parts) == 1:
             return self.parts[chunk]
-        found = [self.parts[chunk[a:b]] for a, b in pairwise((0, *cuts, len(chunk)))]
+        found = [self.parts[p] for p in parts]
         return sum(f[0] for f in found), min(f[1] for f in found), b"".join([f[2] for f in found])
 
     def __call__(self, text: str | None, n: int) -> list[tuple[float, np.ndarray]]:
@@ -200,7 +282,10 @@ class Segmenter:
         if not text:
             return [(0.0, np.zeros(0, "<u4"))]
         chunks = self.vocabulary.chunks(MARK + text.replace(" ", MARK))
-        at = list(map(self.known.__getitem__, chunks))
+        return self._joined(chunks, list(map(self.known.__getitem__, chunks)), n, self._nbest)
+
+    def _joined(self, chunks: list[str], at: list[tuple[float, float, bytes]], n: int, nbest: Callable) -> list[tuple[float, np.ndarray]]:
+        """The n best of chunks side by side, from each one's (score, gap, ids)."""
         best, total = [a[2] for a in at], sum([a[0] for a in at])
         found = [(total, np.frombuffer(b"".join(best), "<u4"))]
         if n > 1:
@@ -209,7 +294,7 @@ class Segmenter:
             limit = np.partition(gap, n - 2)[n - 2] if len(gap) > n - 1 else np.inf
             below = np.flatnonzero(gap < limit)
             places = sorted([*below, *np.flatnonzero(gap == limit)[: n - 1 - len(below)]])
-            lists = [self._nbest(chunks[p], n) for p in places]
+            lists = [nbest(chunks[p], n) for p in places]
             for ranks in self._combined(lists, n)[1:]:
                 own = list(best)
                 loss = 0.0
@@ -271,6 +356,8 @@ def encode(spark: SparkSession, docs: DataFrame, *, path: str) -> DataFrame:
         ids = [s(t, 1)[0][1].view("<i4") for t in part.column("text").to_pylist()]
         return {"ids": ids, "n_tokens": [len(i) for i in ids]}
 
+    for c in [c for c in docs.columns if c.lower() in ("ids", "n_tokens")]:
+        docs = docs.withColumnRenamed(c, free(c, docs))
     return map_rows(docs, cut, "ids array<int>, n_tokens long", drop=("text",))
 
 
