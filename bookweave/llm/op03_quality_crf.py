@@ -6,7 +6,7 @@ the length-weighted mean over all lines is the document's raw quality, which a l
 documents, turns into a probability.
 
 Lines carry their document's label while training (weak supervision). The model is fitted on at most ``SAMPLE``
-labelled documents, those with the smallest hashes of doc_id, of which held-out ones (crc32 of the id as text is
+labelled documents of at most ``LONGEST`` characters, those with the smallest hashes of doc_id, of which held-out ones (crc32 of the id as text is
 divisible by 5) are never part; the sample is bounded so that fitting fits on the driver, the bound being a parameter.
 Scoring covers every whole text and streams; labels, lang, source and doc_id are no inputs of a score.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, parallel, table
 
-SAMPLE, THRESHOLD = 3000, 0.3
+SAMPLE, LONGEST, THRESHOLD = 3000, 50_000, 0.3
 LOWER, UPPER, DIGIT, BLANK, STOP, BANG, SYMBOL, OTHER = range(8)
 NAMES = ("chars", "words", "upper", "digits", "stops", "bangs", "symbols", "other", "word_length", "short", "distinct", "stutter", "seen")
 BINS = 8
@@ -205,11 +205,13 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Crf | None:
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, longest: int = LONGEST) -> Crf | None:
+    """Fitted on at most ``sample`` labelled documents of at most ``longest`` characters, which bounds what the driver reads; repeated ids count once."""
     known = labels.select("doc_id", "quality").filter("quality in (0, 1) and doc_id is not null").filter(~held_out())
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toPandas().sort_values(["doc_id", "quality"], kind="stable")
+    short = docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= longest)
+    rows = short.join(F.broadcast(chosen.distinct()), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).toPandas().sort_values(["doc_id", "quality"], kind="stable")
     return fit(rows.text.tolist(), rows.quality.to_numpy("i8"))
 
 

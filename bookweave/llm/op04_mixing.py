@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded, table, word_count
+from .common import Scratch, bounded, free, table, word_count
 
 BITS, ROUNDS = 12, 3
 BUCKETS = 1 << BITS
@@ -104,10 +104,10 @@ def _with(left: DataFrame, right: DataFrame) -> DataFrame:
 def apply(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each document as many times as plan() takes it, with its own columns."""
     scratch = Scratch(spark, "mixing")
-    mix = plan(spark, docs, scratch=scratch, **how).groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies")).filter("__copies > 0")
-    mix = bounded(scratch.write(mix.withColumnRenamed("doc_id", "__id"), "copies"))
-    joined = docs.join(mix, docs["doc_id"].eqNullSafe(F.col("__id")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[docs[c] for c in docs.columns])
+    ident, copies, turn = (free(c, docs) for c in ("mix_id", "mix_copies", "mix_turn"))
+    mix = plan(spark, docs, scratch=scratch, **how).groupBy(F.col("doc_id").alias(ident)).agg(F.max("copies").cast("int").alias(copies)).filter(F.col(copies) > 0)
+    joined = docs.join(bounded(scratch.write(mix, "copies")), docs["doc_id"].eqNullSafe(F.col(ident)))
+    return joined.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[docs[c] for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

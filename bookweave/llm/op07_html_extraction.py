@@ -200,7 +200,7 @@ def decode(nodes: list[Node], odds: np.ndarray) -> list[bool]:
     """The most likely labels with everything below a dropped node dropped. A node counts by the text of its own."""
     keep = -np.logaddexp(0, -odds)
     drop = -np.logaddexp(0, odds)
-    weight = np.array([1 + min(n.chars, 200) / 20 for n in nodes])
+    weight = np.array([1 + n.chars / 20 for n in nodes])
     gone, best = weight * drop, weight * keep
     enter = [False] * len(nodes)
     for n in reversed(nodes):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, table
 
 MASK_DELTA = 0xA282EAD8
-SHARD_BYTES = 12 << 20
+SHARD_BYTES, MOST_BYTES, SHARDS = 12 << 20, 128 << 20, 10_000  # a shard's text: the least, the most, and how many shards the least is kept for
 MEMO, LONGEST = 250_000, 64  # words remembered by a worker; longer words are encoded each time
 HEAD, ID = struct.Struct("<QI"), struct.Struct("<qB")
 AROUND = HEAD.size + 5  # bytes of a frame beside its payload
@@ -147,13 +147,17 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def write(spark: SparkSession, docs: DataFrame, out: str, *, tokenizer: str, end_id: int = 1, shard_bytes: int = SHARD_BYTES) -> None:
+def shard_count(size: int, shard_bytes: int | None = None) -> int:
+    """Shards grow from 12 to 128 MB of stored text as the table does; then their number grows. A reader holds one at a time."""
+    return max(2, math.ceil(size / (shard_bytes or min(MOST_BYTES, max(SHARD_BYTES, size // SHARDS)))))
+
+
+def write(spark: SparkSession, docs: DataFrame, out: str, *, tokenizer: str, end_id: int = 1, shard_bytes: int | None = None) -> None:
     """Encode docs(doc_id, text) and write shards in doc_id order to ``out``.
 
     The shards are ranges of doc_id: one shuffle of the texts, none of the ids.
     """
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    shards = max(2, min(100_000, math.ceil(size / shard_bytes)))
+    shards = shard_count(int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), shard_bytes)
     ordered = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered = ordered.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
 
@@ -170,7 +174,6 @@ def write(spark: SparkSession, docs: DataFrame, out: str, *, tokenizer: str, end
 
 
 
-
 def shard_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("shard"), "content")
 
