@@ -19,6 +19,8 @@ QUERIES = {
 
 ORACLES = {
     "op4_mixing": op04_mixing.ORACLE,
+    "op5_substring_dedup": op05_substring_dedup.ORACLE,
     "op6_url_filter": op06_url_filter.ORACLE,
     "op8_exact_topk": op08_exact_topk.ORACLE,
+    "op10_jaccard_join": op10_jaccard_join.ORACLE,
 }
