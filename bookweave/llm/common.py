@@ -91,6 +91,7 @@ def map_rows(df: DataFrame, compute: Callable[[pa.RecordBatch], dict], fields: s
                 arrays = [part.column(n) for n in names] + [pa.array(made[n], t) for n, t in kinds.items()]
                 out = pa.RecordBatch.from_arrays(arrays, names=[*names, *kinds])
                 yield out.filter(pa.array(made["keep"], pa.bool_())) if "keep" in made else out
+        release()
 
     return df.mapInArrow(run, T.StructType([*rest, *new]))
 

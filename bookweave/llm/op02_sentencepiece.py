@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import free, map_rows, parallel, table
 
 MARK = "▁"
-MEMO, LONGEST = 150_000, 48  # some 0.3 KB an entry; four such generations at most
+MEMO, LONGEST = 80_000, 48  # some 0.3 KB an entry; four such generations at most
 LISTS = 20_000  # chunks whose N best are remembered
 SHORT = 256  # characters of a part whose hypotheses may hold their ids
 UNKNOWN_PENALTY = 10.0  # below the smallest score of the vocabulary
