@@ -130,9 +130,9 @@ def grouped(number: Column) -> Column:
 
 
 def slug(text: str) -> str:
-    """Lower-case letters, digits and underscores, everything else one hyphen: a file name of any text."""
+    """Lower-case letters and digits, everything else one hyphen: a file name of any text."""
     plain = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
-    return re.sub(r"[-\s]+", "-", re.sub(r"[^\w\s-]+", " ", plain)).strip("-_")
+    return re.sub(r"[^a-z0-9]+", "-", plain).strip("-")
 
 
 def time_slug(at: datetime | None = None) -> str:

@@ -117,7 +117,7 @@ def annotation_prompt() -> Column:
 
 def reply_type(reply: Column) -> Column:
     """The type that a model's reply names: its first word of capitals; null where that is no type."""
-    said = F.regexp_extract(reply, r"\b(?:[A-Z]+_?)+\b", 0)
+    said = F.regexp_extract(reply, r"\b[A-Z](?:_?[A-Z])*_?\b", 0)
     return F.when(said.isin(*LINE_TYPES), said)
 
 
