@@ -10,10 +10,12 @@ at least ``num / den``. The join is exact:
    (D is taken for the top of the band; a set near the lower end also visits the band below), and each (band, group,
    content) is a key. Equal keys make candidate edges to the smallest document of the key, never all pairs; the
    connected components of these edges are cells, and linked documents share a cell.
-3. Passages that many documents share chain unrelated texts into large cells. A document of a cell larger than a block
-   stays only if enough of its shingles (``num / den``, as a link needs) occur again in that cell; the others link with
-   nothing there. Those that stay are keyed again within their cell, by other groups, into smaller cells; and so on
-   while that takes half of their rows or more out of large cells.
+3. Passages that many documents share chain unrelated texts into large cells, in a large table most of all texts. A
+   document of a cell larger than a block stays only if enough of its shingles (``num / den``, as a link needs) occur
+   again in that cell; the others link with nothing there. They are told from the texts, by one slice of the shingles
+   after the other, before any sets are written: who lacks too many goes at once, so neither the sets nor the shingles
+   of all texts are on disk at a time. Those that stay are keyed again within their cell, by other groups, into smaller
+   cells; and so on while that takes half of their rows or more out of large cells.
 4. In a cell each document is a point: its shingle counts by hash group. An R-tree over the points bounds the overlap
    with a whole node by the sum of the smaller coordinates; surviving pairs are verified on the sets themselves.
    join() verifies all of them; for components alone, pairs that links already connect are skipped. Cells still larger
@@ -51,6 +53,7 @@ BLOCK, HUBS = 128, 8
 POINTS = 4096  # documents of a block when only points are compared
 GROUPS, LEAF = 64, 16  # coordinates of a point, points in a leaf
 EMPTY = U(0x5EED)
+SLICES = 4  # of the shingles of large cells; only one is on disk at a time
 SHRINK = 0.5  # large cells are keyed again while at most this share of their rows is left in large cells
 
 
@@ -215,27 +218,59 @@ def _some(b: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.nda
         yield rows[own], cells[own], [sets[i] for i in own]
 
 
-def _told(parts: int):
-    """Distinct (cell, shingle) of a batch, packed by piece (kind 2), and how many shingles of a row the batch itself repeats,
-    packed by the row's piece (kind 3).
+def _entries(rows: np.ndarray, cells: np.ndarray, sets: list[np.ndarray], parts: int) -> Iterator[pd.DataFrame]:
+    """Distinct (cell, shingle) of some rows, packed by piece (kind 2), and how many shingles of a row they repeat among
+    themselves, packed by the row's piece (kind 3).
 
     An entry's lowest bit says that the shingle is known to be repeated and its row was counted for it.
     """
+    n = [len(x) for x in sets]
+    key = mixed(np.concatenate(sets) + np.repeat(cells, n) * STEP) >> U(1)
+    row = np.repeat(rows, n)
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order]
+    head = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    again = ~head | np.append(~head[1:], False) if len(key) else head
+    counted, count = np.unique(row[again], return_counts=True)
+    if len(counted):
+        yield from _packed(counted.view("u8"), count, parts, kind=3)
+    yield from _packed(key[head] << U(1) | again[head].astype("u8"), row[head], parts, flagged=True)
+
+
+def _told(parts: int):
+    """What _entries() has of each batch."""
 
     def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for rows, cells, sets in _some(b):
-                n = [len(x) for x in sets]
-                key = mixed(np.concatenate(sets) + np.repeat(cells, n) * STEP) >> U(1)
-                row = np.repeat(rows, n)
-                order = np.argsort(key, kind="stable")
-                key, row = key[order], row[order]
-                head = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-                again = ~head | np.append(~head[1:], False) if len(key) else head
-                counted, count = np.unique(row[again], return_counts=True)
-                if len(counted):
-                    yield from _packed(counted.view("u8"), count, parts, kind=3)
-                yield from _packed(key[head] << U(1) | again[head].astype("u8"), row[head], parts, flagged=True)
+                yield from _entries(rows, cells, sets, parts)
+        release()
+
+    return tell
+
+
+def _told_of_texts(n: int, turn: int, parts: int):
+    """What _entries() has of one slice of the texts' shingles; its size counts against a row (kind 3)."""
+
+    def sent(held: list) -> Iterator[pd.DataFrame]:
+        rows, cells, sets = np.array([r for r, _, _ in held], "i8"), np.array([c for _, c, _ in held], "i8").view("u8"), [s for _, _, s in held]
+        yield from _packed(rows.view("u8"), -np.array([len(s) for s in sets], "i8"), parts, kind=3)
+        yield from _entries(rows, cells, sets, parts)
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for b in batches:
+            for row, cell, text, *fp in b[["row", "cell", "text", "fp1", "fp2"]].itertuples(index=False, name=None):
+                s = shingles([w.lower() for w in byte_words(text)], n)
+                # of an id with several texts, the one that the row's fingerprint names
+                if tuple(_print(s)) == tuple(fp):
+                    held.append((row, cell, s[s % U(SLICES) == turn]))
+                    size += len(held[-1][2])
+                if size >= HELD:
+                    yield from sent(held)
+                    held, size = [], 0
+        if held:
+            yield from sent(held)
         release()
 
     return tell
@@ -262,10 +297,10 @@ def _repeated(parts: int):
 
 
 def _summed(f: pd.DataFrame) -> pd.DataFrame:
-    """A piece of the rows: each one's repeated shingles, one row each."""
+    """A piece of the rows: the sum of each one's counts, one row each."""
     row, count = _unpacked(f["pack"])
     row, at = np.unique(row, return_inverse=True)
-    return _rows(1, a=row.view("i8"), n=np.bincount(at, count.astype("f8"), len(row)).astype("i8"))
+    return _rows(1, a=row.view("i8"), n=np.bincount(at, count.view("i8").astype("f8"), len(row)).astype("i8"))
 
 
 def _keyed_again(num: int, den: int, parts: int, salt: int):
@@ -401,9 +436,10 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     cells = components(scratch, found.filter("kind = 1").select("a", "b")).select(F.col("node").alias("doc_id"), F.col("label").alias("cell"))
     scratch.drop(found)
     # one document of each class in a cell, where a cell has two classes or more
-    delegates = known.filter("rep is not null").join(bounded(cells), "doc_id").groupBy("cell", "fp1", "fp2").agg(F.min("doc_id").alias("doc_id"), F.min("rep").alias("node"))
+    delegates = known.filter("rep is not null").join(bounded(cells), "doc_id").groupBy("cell", "fp1", "fp2").agg(F.min("doc_id").alias("doc_id"), F.min("rep").alias("node"), F.min("n_shingles").alias("size"))
     delegates = scratch.write(delegates.withColumn("row", F.xxhash64("cell", "fp1", "fp2")), "delegates")
-    chosen = scratch.write(_blocked(scratch, delegates, BLOCK).select("doc_id", "row", "cell", "node", "fp1", "fp2"), "chosen")
+    chosen = scratch.write(_blocked(scratch, delegates, BLOCK).select("doc_id", "row", "cell", "node", "fp1", "fp2", "size", "blocks"), "chosen")
+    chosen = _able(scratch, docs, chosen, n, num, den, parts).select("doc_id", "row", "cell", "node", "fp1", "fp2")
     sets = docs.select("doc_id", "text").join(bounded(chosen), "doc_id").drop("doc_id").mapInPandas(_with_sets(n), SETS)
     sets = scratch.write(sets, "sets")
     sets = _split(scratch, _refined(scratch, sets, num, den, parts), num, den)
@@ -429,6 +465,23 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     return known, links.unionAll(first).unionAll(scratch.write(grid.applyInPandas(verify, LINKS), "links"))
 
 
+def _able(scratch: Scratch, docs: DataFrame, chosen: DataFrame, n: int, num: int, den: int, parts: int) -> DataFrame:
+    """chosen without the rows of large cells that can't link there: too many of their shingles occur in no other row that stays."""
+    own = scratch.write(chosen.filter("blocks > 1").withColumn("lacks", F.lit(0).cast("long")), "large")
+    for turn in range(SLICES):
+        if own.isEmpty():
+            break
+        scratch.tidy()
+        texts = docs.select("doc_id", "text").join(bounded(own.select("doc_id", "row", "cell", "fp1", "fp2")), "doc_id").drop("doc_id")
+        told = texts.mapInPandas(_told_of_texts(n, turn, parts), FOUND)
+        counts = told.groupBy("piece").applyInPandas(_repeated(parts), FOUND).groupBy("piece").applyInPandas(_summed, FOUND).select(F.col("a").alias("row"), F.col("n").alias("met"))
+        left = own.join(counts, "row", "left").withColumn("lacks", F.col("lacks") - F.coalesce("met", F.lit(0)))
+        own, old = scratch.write(left.filter(den * (F.col("size") - F.col("lacks")) >= num * F.col("size")).select(own.columns), "able"), own
+        scratch.drop(old)
+    scratch.tidy()
+    return chosen.filter("blocks = 1").unionAll(own.drop("lacks").select(chosen.columns))
+
+
 def _refined(scratch: Scratch, sets: DataFrame, num: int, den: int, parts: int) -> DataFrame:
     """sets with smaller cells: rows of large cells that can't link there go, the others are keyed again within their cell.
 
@@ -518,11 +571,14 @@ def degrees(known: DataFrame, links: DataFrame) -> DataFrame:
 
 def keep_one(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id; rows without words stay."""
-    scratch = Scratch(spark, "jaccard")
-    found = scratch.write(classes(spark, docs, scratch=scratch, **how), "components")
+    scratch, steps = Scratch(spark, "jaccard"), Scratch(spark, "jaccard-steps")
+    found = scratch.write(classes(spark, docs, scratch=steps, **how), "components")
+    steps.clear()
     gone = scratch.write(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
     kept = docs.join(bounded(gone), "doc_id", "left_anti").select(docs.columns)
     again = scratch.write(found.filter("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    scratch.drop(found)
+    scratch.tidy()
     if again.isEmpty():
         return kept
     # rows that share an id: one of them

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,15 @@ class Scratch:
             if f"/{self.root.rpartition('/')[2]}/" in f"{root}/":
                 remove(self.spark, root)
 
+    def clear(self) -> None:
+        """Delete all tables written so far."""
+        remove(self.spark, self.root)
+
+    def tidy(self) -> None:
+        """Have the shuffle files of finished jobs deleted now; they stay until the driver happens to collect its garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 _open: list[tuple[SparkSession, str]] = []
 

@@ -6,6 +6,7 @@ import random
 import re
 import subprocess
 import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -18,7 +19,7 @@ from bookweave.llm import op07_html_extraction as op7
 from bookweave.llm import op08_exact_topk as op8
 from bookweave.llm import op09_token_records as op9
 from bookweave.llm import op10_jaccard_join as op10
-from bookweave.llm.common import Scratch
+from bookweave.llm.common import Scratch, shared_folder
 
 from test_operators import kept_words, linked_components, near_copies, text, words
 
@@ -282,6 +283,44 @@ def test_refined_cells_keep_all_links(spark, monkeypatch):
     assert sorted(tuple(r) for r in op10.classes(spark, d, n=5, num=8, den=10).collect()) == linked_components(rows, 5, 8, 10)
 
 
+def test_only_texts_that_can_link_have_sets(spark, monkeypatch):
+    """Texts that share passages alone are told apart before sets are written, and few tables stay on disk."""
+    written, write = {}, Scratch.write
+
+    def noted(self, df, name):
+        out = write(self, df, name)
+        if name in ("chosen", "sets"):
+            written[name] = [r.node for r in out.select("node").collect()]
+        return out
+
+    monkeypatch.setattr(Scratch, "write", noted)
+    monkeypatch.setattr(op10, "BLOCK", 4)
+    rows = passages(4)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    known, _ = op10.join(spark, d, n=5, num=8, den=10)
+    assert known.count() == len(rows) and sum(i < 90 for i in written["chosen"]) > 60
+    assert written["sets"] and sum(i < 90 for i in written["sets"]) < 10
+
+
+def test_blocks_of_texts_that_were_not_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(op10, "BLOCK", 6)
+    monkeypatch.setattr(op10, "POINTS", 10)
+    monkeypatch.setattr(op10, "_able", lambda scratch, docs, chosen, *how: chosen)
+    monkeypatch.setattr(op10, "_refined", lambda scratch, sets, num, den, parts: sets)
+    rows = passages(3)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(tuple(r) for r in op10.classes(spark, d, n=3, num=60, den=100).collect()) == linked_components(rows, 3, 60, 100)
+
+
+def test_keep_one_leaves_two_small_tables(spark):
+    at = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(at.glob("bookweave/*/*"))
+    d = spark.createDataFrame(passages(5), "doc_id long, text string")
+    kept = op10.keep_one(spark, d)
+    assert {p.name[4:] for p in set(at.glob("bookweave/*/*")) - before} == {"gone", "again"}
+    assert kept.count() > 90
+
+
 def test_pairs_of_blocks_are_dealt_out_by_themselves(spark):
     rows = spark.range(400).select(F.col("id").alias("row"), F.lit(1).cast("long").alias("cell"), F.col("id").alias("node"), F.lit(0).cast("long").alias("fp1"), F.col("id").alias("fp2"), F.lit(b"").alias("set"), F.lit(b"").alias("point"), F.col("id").alias("group"), F.lit(True).alias("loose"), F.lit(4).alias("blocks"), F.lit(0).alias("block"))
     grid = op10._grid(Scratch(spark, "t"), rows, 100)
