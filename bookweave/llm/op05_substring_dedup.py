@@ -23,8 +23,9 @@ content instead, and documents send each shard only what can match there:
 A row is told by a 64-bit hash of doc_id and text; doc_id alone only gives the order.
 
 Anchors and segments that occur often are reduced within each batch of documents before they are sent (one entry per
-batch; rows that tie with it follow without words), so a passage in a third of all documents stays small; they travel
-packed. Words count by a 64-bit hash in
+batch; rows that tie with it follow without words), so a passage in a third of all documents stays small. What a batch
+itself knows to be repeated goes by row: positions of anchors, and repeated windows with those that adjoin them as one
+run, so a long passage is one run a document, not one of each anchor or window. All of it travels packed. Words count by a 64-bit hash in
 steps 1 and 2 and by 48 bits of it within the segments of one anchor.
 
 Defined results: null or empty text has no words; a null doc_id counts as the largest; rows that share a doc_id, and
@@ -57,6 +58,7 @@ SENT = "kind int, piece int, row long, value long, anchor long, pack binary"
 HOT = 256  # batches that hold an anchor; a batch has about CHUNK words
 HEAD = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("row", "<i8"), ("start", "<i4"), ("n", "<i4")])  # n = 0: the words of the entry before
 MET = np.dtype([("anchor", "<u8"), ("row", "<i8"), ("at", "<i4")])
+FACT = np.dtype([("row", "<i8"), ("value", "<i8"), ("anchor", "<u8")])
 CHUNK = 1 << 18  # words handled at a time
 
 
@@ -92,27 +94,49 @@ def _chunks(texts: list, docs: np.ndarray) -> Iterator[tuple[list[int], np.ndarr
             rows, ids, n = [], [], 0
 
 
-def _packs(pack: list[bytes], piece: list[int]) -> pd.DataFrame:
-    """Rows of kind 2: packed entries for a piece."""
+def _packs(pack: list[bytes], piece: list[int], kind: int = 2) -> pd.DataFrame:
+    """Rows of kind 2: packed entries for a piece. Kind 1: packed facts."""
     none = np.zeros(len(pack), "i8")
-    return pd.DataFrame({"kind": np.full(len(pack), 2, "i4"), "piece": np.array(piece, "i4"), "row": none, "value": none, "anchor": none, "pack": pack})
+    return pd.DataFrame({"kind": np.full(len(pack), kind, "i4"), "piece": np.array(piece, "i4"), "row": none, "value": none, "anchor": none, "pack": pack})
 
 
-def _facts(row: np.ndarray, value: np.ndarray, pieces: int = 1, *, anchor: np.ndarray | None = None, kind: int = 1) -> pd.DataFrame:
-    """Rows of kind 1: one thing known of a row each, and the anchor it is known by. Kind 3: hot anchors."""
-    anchor = np.zeros(len(row), "i8") if anchor is None else anchor.view("i8")
-    return pd.DataFrame({"kind": np.full(len(row), kind, "i4"), "piece": (row % pieces).astype("i4"), "row": row, "value": value.astype("i8"), "anchor": anchor, "pack": np.full(len(row), None, object)})
+def _told(row: np.ndarray, value: np.ndarray, pieces: int, anchor: np.ndarray | None = None) -> pd.DataFrame:
+    """One thing known of a row each, and the anchor it is known by, packed by the row's piece (kind 1)."""
+    facts = np.zeros(len(row), FACT)
+    facts["row"], facts["value"] = row, value
+    if anchor is not None:
+        facts["anchor"] = anchor
+    found = [(p, x.tobytes()) for p, (x,) in _by(row % pieces, facts)]
+    return _packs([x for _, x in found], [p for p, _ in found], 1)
+
+
+def _heard(f: pd.DataFrame) -> np.ndarray:
+    """The facts that a piece was told."""
+    return np.frombuffer(b"".join(f["pack"][f.kind == 1]), FACT)
 
 
-def _once(facts: pd.DataFrame) -> pd.DataFrame:
-    """Exact copies of a row have one key; what is known of it is known twice at most, by its own piece and its anchor's."""
-    return facts.drop_duplicates(["row", "value"])
+def _facts(row: np.ndarray, value: np.ndarray, anchor: np.ndarray | None = None, *, kind: int = 1) -> pd.DataFrame:
+    """Rows of kind 1: one thing known of a row each, and the anchor it is known by. Kind 3: hot anchors."""
+    anchor = np.zeros(len(row), "i8") if anchor is None else anchor.view("i8")
+    return pd.DataFrame({"kind": np.full(len(row), kind, "i4"), "piece": np.zeros(len(row), "i4"), "row": row, "value": value.astype("i8"), "anchor": anchor, "pack": np.full(len(row), None, object)})
 
 
 def _span(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return first << 32 | last
 
 
+def _runs(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and spans, those of a row that meet or overlap as one."""
+    if not len(row):
+        return row, first
+    order = np.lexsort((first, row))
+    row, first, last = row[order], first[order], last[order]
+    rank = np.cumsum(np.concatenate([[False], row[1:] != row[:-1]]))
+    end = np.maximum.accumulate(rank << 32 | last) & 0xFFFFFFFF
+    head = np.flatnonzero(np.concatenate([[True], (rank[1:] != rank[:-1]) | (first[1:] > end[:-1] + 1)]))
+    return row[head], _span(first[head], end[np.append(head[1:], len(row)) - 1])
+
+
 def _by(key: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
     order = np.argsort(key, kind="stable")
     key = key[order]
@@ -141,7 +165,7 @@ def _anchored(window: int, pieces: int):
                 head = np.concatenate([[True], key[1:] != key[:-1]])
                 again = ~head | np.append(~head[1:], False)
                 if again.any():
-                    yield _facts(own[again], at[again], pieces, anchor=key[again])
+                    yield _told(own[again], at[again], pieces, key[again])
                 met = np.empty(int(head.sum()), MET)
                 met["anchor"], met["row"], met["at"] = key[head] << U(1) | again[head].astype("u8"), own[head], at[head]
                 found = [(p, m.tobytes()) for p, (m,) in _by((key[head] % U(pieces)).astype("i8"), met)]
@@ -156,7 +180,9 @@ def _repeated():
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
         release()
-        rest, packs = _once(f[f.kind == 1]), f["pack"][f.kind == 2]
+        told, packs = _heard(f), f["pack"][f.kind == 2]
+        # exact copies of a row have one key, and each batch that holds one tells the same
+        rest = _facts(told["row"], told["value"], np.ascontiguousarray(told["anchor"])).drop_duplicates(["row", "value"])
         if not len(packs):
             return rest
         met = np.concatenate([np.frombuffer(p, MET) for p in packs])
@@ -170,9 +196,9 @@ def _repeated():
         hot = key[head][count > HOT]
         found = [rest]
         if new.any():
-            found.append(_facts(met["row"][new], met["at"][new], anchor=key[new]))
+            found.append(_facts(met["row"][new], met["at"][new], key[new]))
         if len(hot):
-            found.append(_facts(np.zeros(len(hot), "i8"), np.zeros(len(hot), "i8"), anchor=hot, kind=3))
+            found.append(_facts(np.zeros(len(hot), "i8"), np.zeros(len(hot), "i8"), hot, kind=3))
         return pd.concat(found)
 
     return meet
@@ -206,8 +232,7 @@ def _segmented(window: int, pieces: int):
                     else:
                         same.append((c, d, t, k, a - o, 0 if same else z - a + window))
                 if gone:
-                    g = np.array(gone, "i8")
-                    yield _facts(g[:, 0], _span(g[:, 1], g[:, 2]), pieces)
+                    yield _told(*_runs(*np.array(gone, "i8").T), pieces)
                 if seen:
                     h = np.array([x for same in seen.values() for x in same], HEAD)
                     words = [w if k == 0 else b"" for w, same in seen.items() for k in range(len(same))]
@@ -268,7 +293,7 @@ def _matched(window: int):
 
     def match(f: pd.DataFrame) -> pd.DataFrame:
         release()
-        rest, packs = f[f.kind == 1], f["pack"][f.kind == 2]
+        told, packs = _heard(f), f["pack"][f.kind == 2]
         by: dict[int, list[tuple[int, int, int, int, bytes]]] = {}
         for p in packs:
             n = int(np.frombuffer(p[:8], "<i8")[0])
@@ -279,10 +304,8 @@ def _matched(window: int):
                 by.setdefault(anchor, []).append((doc, place, row, start, segment))
                 at += words * CODE
         gone = [x for found in by.values() if len(found) > 1 for x in repeats(found, window)]
-        if not gone:
-            return _once(rest)
-        g = np.array(gone, "i8")
-        return _once(pd.concat([rest, _facts(g[:, 0], _span(g[:, 1], g[:, 2]))]))
+        known = np.column_stack([told["row"], told["value"] >> 32, told["value"] & 0xFFFFFFFF])
+        return _facts(*_runs(*np.concatenate([known, np.array(gone, "i8").reshape(-1, 3)]).T))
 
     return match
 

@@ -311,6 +311,38 @@ def test_substrings_with_shared_and_null_ids(spark, parts):
     assert sorted(str(tuple(x)) for x in got) == sorted(map(str, cut_by_row(rows)))
 
 
+@pytest.mark.parametrize("hot", [0, 1])
+def test_repeats_within_a_batch_go_as_runs(hot):
+    """A long passage in every document: one run a document, in no more rows than pieces; not one of each anchor or window."""
+    import numpy as np
+    import pandas as pd
+
+    r, pieces = random.Random(13), 4
+    passage = text(400, r)
+    for n in (60, 120):
+        texts = [" ".join([*(f"a{i}-{k}" for k in range(30)), passage, *(f"z{i}-{k}" for k in range(30))]) for i in range(n)]
+        at = [np.arange(460) * 2 + hot] * n
+        sent = pd.concat(op5._segmented(20, pieces)(iter([pd.DataFrame({"row": range(n), "doc": range(n), "text": texts, "at": at})])))
+        assert len(sent) <= 2 * pieces
+        known = op5._heard(sent)
+        assert sorted(known["row"]) == list(range(1, n))
+        # segments that reach beyond the passage differ; they are left to their shards
+        spans = [(v >> 32, v & 0xFFFFFFFF) for v in known["value"].tolist()]
+        assert all(30 <= a <= 42 and 398 <= z <= 410 for a, z in spans) and (not hot or set(spans) == {(30, 410)})
+
+
+def test_runs_are_the_union_of_spans():
+    import numpy as np
+
+    r = random.Random(14)
+    for _ in range(50):
+        found = [(r.randint(-2, 2), a, a + r.randint(0, 9)) for a in (r.randint(0, 60) for _ in range(r.randint(0, 25)))]
+        row, span = op5._runs(*np.array(found, "i8").reshape(-1, 3).T)
+        got = [(k, i) for k, v in zip(row.tolist(), span.tolist(), strict=True) for i in range(v >> 32, (v & 0xFFFFFFFF) + 1)]
+        assert sorted(got) == sorted({(k, i) for k, a, z in found for i in range(a, z + 1)})
+        assert not any((k, (v & 0xFFFFFFFF) + 1) in got for k, v in zip(row.tolist(), span.tolist(), strict=True))
+
+
 def test_automaton_statistics():
     r = random.Random(6)
     for _ in range(60):
