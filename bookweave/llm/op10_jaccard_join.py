@@ -47,9 +47,10 @@ from .common import Scratch, bounded, byte_words, parallel, pieces, release, tab
 from .components import components
 from .hashing import STEP, U, mixed, shingles
 
-PIECE = 2 << 20  # bytes of stored text whose keys go to one piece
+PIECE = 4 << 20  # bytes of stored text whose keys go to one piece
 HELD = 1 << 18  # shingles whose keys are met in a mapper before they are sent
 BLOCK, HUBS = 128, 8
+SHIPPED = 1 << 17  # documents, copies included, that pairs of blocks take to one shuffle
 POINTS = 4096  # documents of a block when only points are compared
 GROUPS, LEAF = 64, 16  # coordinates of a point, points in a leaf
 EMPTY = U(0x5EED)
@@ -166,7 +167,39 @@ def _sent(key: np.ndarray, ident: np.ndarray, parts: int) -> Iterator[pd.DataFra
     key, ident, edges = stars(key, ident)
     if len(edges):
         yield _rows(1, a=edges[:, 0], b=edges[:, 1], piece=(edges[:, 1] % parts).astype("i4"))
-    yield from _packed(key, ident, parts)
+    yield from _short(key, ident, parts)
+
+
+def _short(key: np.ndarray, ident: np.ndarray, parts: int) -> Iterator[pd.DataFrame]:
+    """Entries (key, ident) by piece of the key space, in 9 bytes as a rule in place of 16 (kind 2).
+
+    Of a key, 40 bits besides its piece; keys that agree in these make candidates more, which are verified like all. Of
+    an ident, its distance from the smallest in the pack.
+    """
+    piece = (key % U(parts)).astype("i4")
+    order = np.argsort(piece, kind="stable")
+    if len(order):
+        cuts = np.flatnonzero(np.concatenate([[True], piece[order][1:] != piece[order][:-1]]))
+        packs = []
+        for o in np.split(order, cuts[1:]):
+            own, least = ident[o], ident[o].min()
+            wide = 4 if int(own.max()) - int(least) < 1 << 32 else 8
+            far = (own.view("u8") - least.view("u8")).astype(f"<u{wide}")
+            packs.append(least.tobytes() + bytes([wide]) + (key[o] // U(parts)).astype("<u8").view("u1").reshape(-1, 8)[:, :5].tobytes() + far.tobytes())
+        yield _rows(2, piece=piece[order][cuts], pack=packs)
+
+
+def _long(packs) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (of one piece) and idents of _short()'s packs."""
+    keys, idents = [np.zeros(0, "u8")], [np.zeros(0, "i8")]
+    for p in packs:
+        wide = p[8]
+        n = (len(p) - 9) // (5 + wide)
+        key = np.zeros((n, 8), "u1")
+        key[:, :5] = np.frombuffer(p, "u1", 5 * n, 9).reshape(n, 5)
+        keys.append(key.view("<u8").ravel())
+        idents.append((np.frombuffer(p, f"<u{wide}", n, 9 + 5 * n).astype("u8") + np.frombuffer(p, "u8", 1)).view("i8"))
+    return np.concatenate(keys), np.concatenate(idents)
 
 
 def _signed(n: int, num: int, den: int, parts: int):
@@ -205,8 +238,7 @@ def _met(f: pd.DataFrame) -> pd.DataFrame:
     """All entries of a piece of the key space: edges between documents with equal keys. Other rows pass through."""
     release()
     rest = f[f.kind != 2]
-    key, doc = _unpacked(f["pack"][f.kind == 2])
-    edges = stars(key, doc.view("i8"))[2]
+    edges = stars(*_long(f["pack"][f.kind == 2]))[2]
     return pd.concat([rest, _rows(1, a=edges[:, 0], b=edges[:, 1])]) if len(edges) else rest
 
 
@@ -428,6 +460,7 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     parts = pieces(spark, docs, PIECE)
     signed = texts.mapInPandas(_signed(n, num, den, parts), FOUND)
     found = scratch.write(signed.groupBy("piece").applyInPandas(_met, FOUND).drop("pack", "piece"), "found")
+    scratch.tidy()
     rows = found.filter("kind in (0, 3)").select(F.when(F.col("kind") == 0, F.col("a")).alias("doc_id"), F.col("n").alias("n_shingles"), "fp1", "fp2")
     # a third of all rows may be copies: the class table is written, so that the join with it can split them
     classes = scratch.write(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")), "classes")
@@ -435,6 +468,7 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     known = scratch.write(known, "documents")
     cells = components(scratch, found.filter("kind = 1").select("a", "b")).select(F.col("node").alias("doc_id"), F.col("label").alias("cell"))
     scratch.drop(found)
+    scratch.tidy()
     # one document of each class in a cell, where a cell has two classes or more
     delegates = known.filter("rep is not null").join(bounded(cells), "doc_id").groupBy("cell", "fp1", "fp2").agg(F.min("doc_id").alias("doc_id"), F.min("rep").alias("node"), F.min("n_shingles").alias("size"))
     delegates = scratch.write(delegates.withColumn("row", F.xxhash64("cell", "fp1", "fp2")), "delegates")
@@ -442,16 +476,18 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     chosen = _able(scratch, docs, chosen, n, num, den, parts).select("doc_id", "row", "cell", "node", "fp1", "fp2")
     sets = docs.select("doc_id", "text").join(bounded(chosen), "doc_id").drop("doc_id").mapInPandas(_with_sets(n), SETS)
     sets = scratch.write(sets, "sets")
+    scratch.tidy()
     sets = _split(scratch, _refined(scratch, sets, num, den, parts), num, den)
     verify = _verify(num, den, every_pair=every_pair)
     whole = sets.withColumn("group", F.col("node"))
     links = scratch.write(whole.filter("blocks = 1").groupBy("cell").applyInPandas(verify, LINKS), "links")
+    scratch.tidy()
     large = whole.filter("blocks > 1")
     if large.isEmpty():
         return known, links
     if every_pair:
-        pairs = _grid(scratch, large.withColumn("loose", F.lit(True))).applyInPandas(verify, LINKS).distinct()
-        return known, links.unionAll(scratch.write(pairs, "links"))
+        pairs = _linked(scratch, large.withColumn("loose", F.lit(True)), verify)
+        return known, links.unionAll(scratch.write(pairs.distinct(), "links"))
     # each block with the cell's hubs
     hubs = scratch.write(_hubs(large), "hubs")
     spread = hubs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(large.columns)
@@ -461,8 +497,7 @@ def join(spark: SparkSession, docs: DataFrame, *, n: int = 5, num: int = 8, den:
     labelled = scratch.write(large.select("row", "cell", "node").join(bounded(group), F.col("node") == F.col("_node"), "left").select("row", "cell", F.coalesce("label", "node").alias("label")), "labelled")
     main = scratch.write(labelled.groupBy("cell", "label").count().groupBy("cell").agg(F.max_by("label", F.struct("count", "label")).alias("main")), "main")
     loose = scratch.write(labelled.join(bounded(main), "cell").select("row", F.col("label").alias("group"), (F.col("label") != F.col("main")).alias("loose")), "loose")
-    grid = _grid(scratch, large.drop("group").join(bounded(loose), "row"))
-    return known, links.unionAll(first).unionAll(scratch.write(grid.applyInPandas(verify, LINKS), "links"))
+    return known, links.unionAll(first).unionAll(_linked(scratch, large.drop("group").join(bounded(loose), "row"), verify))
 
 
 def _able(scratch: Scratch, docs: DataFrame, chosen: DataFrame, n: int, num: int, den: int, parts: int) -> DataFrame:
@@ -506,6 +541,7 @@ def _refined(scratch: Scratch, sets: DataFrame, num: int, den: int, parts: int)
         new = scratch.write(rest.unionAll(able.drop("cell").join(bounded(label), "row").select("row", "cell", "size")), "placed")
         for old in (place, own, able, met):
             scratch.drop(old)
+        scratch.tidy()
         place = new
     return sets if not turn else sets.drop("cell").join(bounded(place.select("row", "cell")), "row")
 
@@ -517,7 +553,7 @@ def _split(scratch: Scratch, sets: DataFrame, num: int, den: int) -> DataFrame:
     if large.isEmpty():
         return sets.drop("cell").join(bounded(blocked.drop("node")), "row")
     points = _blocked(scratch, sets.drop("set").join(bounded(large), "row"), POINTS).withColumn("group", F.col("node")).withColumn("loose", F.lit(True)).withColumn("set", F.lit(None).cast("binary"))
-    near = scratch.write(_grid(scratch, points, POINTS).applyInPandas(_verify(num, den, by_points=True), LINKS), "near")
+    near = _linked(scratch, points, _verify(num, den, by_points=True), POINTS, "near")
     cut = components(scratch, near).select(F.col("node").alias("_node"), "label")
     again = blocked.join(bounded(large), "row", "left_semi").join(bounded(cut), F.col("node") == F.col("_node")).select("row", F.col("label").alias("cell"))
     again = _blocked(scratch, scratch.write(again, "again"), BLOCK).select("row", "cell", "blocks", "block")
@@ -531,24 +567,52 @@ def _hubs(large: DataFrame) -> DataFrame:
     return large.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= HUBS).drop("_r")
 
 
-def _grid(scratch: Scratch, rows: DataFrame, block: int | None = None):
-    """Groups (cell, i, j): each pair of blocks of a cell of which one at least has loose documents.
+def _pairs(scratch: Scratch, rows: DataFrame, block: int | None = None) -> tuple[DataFrame, int, int]:
+    """rows with their pairs of blocks of a cell of which one at least has loose documents; how many copies of rows all pairs take; how many rows there are.
 
-    Loose documents are dealt into blocks of their own, so that a few of them do not open all blocks. Pairs are dealt
-    out by themselves: a cell's pairs go to many tasks.
+    Loose documents are dealt into blocks of their own, so that a few of them do not open all blocks.
     """
-    counts = scratch.write(rows.groupBy("cell").agg(F.sum(F.col("loose").cast("int")).alias("n_loose"), F.bool_and("loose").alias("all_loose")).filter("n_loose > 0"), "counts")
-    rows = rows.join(bounded(counts), "cell").withColumn("loose_blocks", F.ceil(F.col("n_loose") / (block or BLOCK)).cast("int"))
+    counts = rows.groupBy("cell").agg(F.count("*").alias("m"), F.sum(F.col("loose").cast("int")).alias("n_loose"), F.bool_and("loose").alias("all_loose"), F.max("blocks").alias("most")).filter("n_loose > 0")
+    counts = counts.withColumn("loose_blocks", F.ceil(F.col("n_loose") / (block or BLOCK)).cast("int"))
+    counts = scratch.write(counts.withColumn("all_blocks", F.col("loose_blocks") + F.when(F.col("all_loose"), 0).otherwise(F.col("most"))), "counts")
+    copies = F.col("n_loose") * F.col("all_blocks") + (F.col("m") - F.col("n_loose")) * F.col("loose_blocks")
+    copies, there = counts.agg(F.coalesce(F.sum(copies), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
+    rows = rows.join(bounded(counts.select("cell", "loose_blocks", "all_blocks")), "cell")
     rows = rows.withColumn("at", F.when(F.col("loose"), F.pmod(F.xxhash64("row"), F.col("loose_blocks")).cast("int")).otherwise(F.col("loose_blocks") + F.col("block")))
     # i is a block of loose documents; j any block from i on
     loose = F.sequence(F.lit(0), F.col("loose_blocks") - 1)
     ends = F.transform(loose, lambda i: F.struct(F.least(i, "at").alias("i"), F.greatest(i, F.col("at")).alias("j")))
-    every = F.transform(F.sequence(F.lit(0), F.col("loose_blocks") + F.when(F.col("all_loose"), 0).otherwise(F.col("blocks")) - 1), lambda j: F.struct(F.least("at", j).alias("i"), F.greatest(F.col("at"), j).alias("j")))
-    pairs = F.explode(F.array_distinct(F.when(F.col("loose"), every).otherwise(ends)))
-    met = rows.withColumn("pair", pairs).select("cell", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "node", "fp1", "fp2", "set", "point", "group")
+    every = F.transform(F.sequence(F.lit(0), F.col("all_blocks") - 1), lambda j: F.struct(F.least("at", j).alias("i"), F.greatest(F.col("at"), j).alias("j")))
+    return rows.withColumn("pairs", F.array_distinct(F.when(F.col("loose"), every).otherwise(ends))), copies, there
+
+
+def _dealt(rows: DataFrame):
+    """Groups (cell, i, j). Pairs are dealt out by themselves: a cell's pairs go to many tasks."""
+    met = rows.withColumn("pair", F.explode("pairs")).select("cell", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "node", "fp1", "fp2", "set", "point", "group")
     return met.repartition("cell", "i", "j").groupBy("cell", "i", "j")
 
 
+def _grid(scratch: Scratch, rows: DataFrame, block: int | None = None):
+    """All pairs of blocks at a time."""
+    return _dealt(_pairs(scratch, rows, block)[0])
+
+
+def _linked(scratch: Scratch, rows: DataFrame, verify, block: int | None = None, name: str = "links") -> DataFrame:
+    """What verify() finds in the pairs of blocks.
+
+    A document goes along with each block that its own one meets, so copies grow with the square of a cell. The pairs
+    take turns, each with some SHIPPED copies or as many as there are rows, if that is more; one turn's are on disk at a time.
+    """
+    rows, copies, there = _pairs(scratch, rows, block)
+    turns, found = max(1, -(-copies // max(SHIPPED, there))), None
+    for turn in range(turns):
+        own = F.filter("pairs", lambda p: F.pmod(F.xxhash64("cell", p["i"], p["j"]), F.lit(turns)) == turn)
+        new = scratch.write(_dealt(rows.withColumn("pairs", own)).applyInPandas(verify, LINKS), name)
+        found = new if found is None else found.unionAll(new)
+        scratch.tidy()
+    return found
+
+
 def classes(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
     scratch = how.pop("scratch", None) or Scratch(spark, "jaccard")

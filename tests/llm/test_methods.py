@@ -328,3 +328,25 @@ def test_pairs_of_blocks_are_dealt_out_by_themselves(spark):
     plan = seen._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\([^)]*\bi#\d+[^)]*\bj#\d+", plan)
     assert {(r.i, r.j) for r in seen.collect()} == {(i, j) for j in range(4) for i in range(j + 1)}
+
+
+def test_pairs_of_blocks_take_turns(spark, monkeypatch):
+    """Copies that pairs of blocks take grow with the square of a cell; only a turn's are shuffled at a time."""
+    sent, dealt = [], op10._dealt
+    monkeypatch.setattr(op10, "SHIPPED", 1)
+    monkeypatch.setattr(op10, "_dealt", lambda rows: (sent.append(rows.agg(F.sum(F.size("pairs"))).first()[0]), dealt(rows))[1])
+    rows = spark.range(300).select(F.col("id").alias("row"), F.lit(1).cast("long").alias("cell"), F.col("id").alias("node"), F.lit(0).cast("long").alias("fp1"), F.col("id").alias("fp2"), F.lit(b"").alias("set"), F.lit(b"").alias("point"), F.col("id").alias("group"), (F.col("id") < 200).alias("loose"), F.lit(10).alias("blocks"), (F.col("id") % 10).cast("int").alias("block"))
+    links = op10._linked(Scratch(spark, "t"), rows, lambda f: f[["i", "j"]].head(1).astype("i8").set_axis(["a", "b"], axis=1), 50)
+    assert sorted(map(tuple, links.collect())) == [(i, j) for i in range(4) for j in range(i, 14)]
+    assert sum(sent) == 200 * 14 + 100 * 4 and max(sent) < 4 * 300
+
+
+@pytest.mark.parametrize("idents", [[5, 3, 3, 900, 7], [-(1 << 63), (1 << 63) - 1, 0, 4, -9], []])
+def test_packed_keys_come_back(idents):
+    """Candidate keys travel in 9 or 13 bytes, 16 before; equal keys stay equal, and idents are whole."""
+    key = np.array([1 << 63, 17, 17, 400, 123456789012][: len(idents)], "u8")
+    found = list(op10._short(key, np.array(idents, "i8"), 3))
+    packs = [(p, b) for f in found for p, b in zip(f.piece, f.pack)]
+    got = sorted((p, int(k), int(i)) for p, b in packs for k, i in zip(*op10._long([b])))
+    assert got == sorted((int(k) % 3, int(k) // 3 % (1 << 40), i) for k, i in zip(key.tolist(), idents))
+    assert sum(len(b) for _, b in packs) <= 9 * len(packs) + 13 * len(idents)
