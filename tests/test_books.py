@@ -245,3 +245,17 @@ def test_duplicate_classes_are_linear(spark):
     h = spark.createDataFrame([(f"b{i:02}", "1") for i in range(9)] + [("x", "2")], "barcode string, hash string")
     got = dedup.classes(h, h.filter("hash = '1'")).collect()
     assert len(got) == 9 and {(r.representative, r.members) for r in got} == {("b00", 9)}
+
+
+def test_fingerprints_are_worked_out_side_by_side(monkeypatch):
+    """No call per shingle, the same values: texts longer than a piece, many scripts, short and blank ones."""
+    from bookweave.functions import simhash as S
+
+    odd = ["", " ", None, "!!!", "abc", "abcdefg", "a" * 700, "ß Straße ÄÖÜ 你好世界你好世界 😀 x𝔘𝔫𝔦𝔠𝔬𝔡𝔢", "привет мир как дела", "Ünïcödé " * 99, "İstanbul ΣΑΣ test", "".join(chr(0x4E00 + i) for i in range(600))] * 2
+    want = [None if t is None or not t.strip() else str(S.simhash(t)) for t in odd]
+    monkeypatch.setattr(S, "_hashes", [])
+    assert S.simhashes(odd) == want
+    monkeypatch.setattr(S, "HELD", 10)
+    assert S.simhashes(odd) == want
+    monkeypatch.setattr(S, "simhash", None)
+    assert S.simhashes([odd[9], odd[6]]) == [want[9], want[6]]
