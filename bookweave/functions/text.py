@@ -19,7 +19,19 @@ SEPARATORS = ("\n\n", "\n", " ", ".", ",", "​", "，", "、", "．", "。")
 
 def fused(text: Column) -> Column:
     """Lower case without line feeds and zero-width spaces: words join across line ends."""
-    return F.lower(F.translate(text, "\n" + ZERO_WIDTH, ""))
+    return F.lower(without(text, "\n" + ZERO_WIDTH))
+
+
+def without(text: Column, characters: str) -> Column:
+    """translate() to nothing; replace() scans bytes, where translate() looks every character up."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
+def continuous_length(text: Column) -> Column:
+    """Characters without blanks, line feeds, tabs, zero-width spaces and dashes."""
+    return F.length(without(text, " \n\t" + ZERO_WIDTH + "-—")).cast("long")
 
 
 def words(text: Column) -> Column:
@@ -46,12 +58,12 @@ def token_count(word: Column) -> Column:
 def metrics(books: DataFrame, key: str = "barcode", text: str = "text") -> DataFrame:
     """Sixteen metrics per row. Blank text has character counts of 0 and nulls elsewhere; nothing leaves the row."""
     t = F.coalesce(text, F.lit(""))
-    blank = F.regexp_replace(t, r"\s", "") == ""
+    blank = ~t.rlike(r"\S")
     d = books.select(key, t.alias("t"), F.when(blank, F.array().cast("array<string>")).otherwise(words(fused(t))).alias("w"), F.when(blank, F.array().cast("array<string>")).otherwise(sentences(fused(t))).alias("s"))
     d = d.select("*", ngrams(F.col("w"), 2).alias("w2"), ngrams(F.col("w"), 3).alias("w3"))
 
-    def counted(name: str, array: str) -> list[Column]:
-        n = F.nullif(F.size(array), F.lit(0)).cast("long")
+    def counted(name: str, array: str, size: Column) -> list[Column]:
+        n = F.nullif(size, F.lit(0)).cast("long")
         unique = F.nullif(F.size(F.array_distinct(array)), F.lit(0)).cast("long")
         return [n.alias(f"{name}_count"), unique.alias(f"{name}_count_unique"), (unique / n * 100).alias(f"{name}_type_token_ratio")]
 
@@ -60,11 +72,12 @@ def metrics(books: DataFrame, key: str = "barcode", text: str = "text") -> DataF
     return d.select(
         key,
         F.when(F.size("w") > 0, length).otherwise(0).alias("char_count"),
-        F.when(F.size("w") > 0, F.length(F.translate("t", " \n\t​-—", ""))).otherwise(0).cast("long").alias("char_count_continuous"),
-        *counted("word", "w"),
-        *counted("bigram", "w2"),
-        *counted("trigram", "w3"),
-        *counted("sentence", "s"),
+        F.when(F.size("w") > 0, continuous_length(F.col("t"))).otherwise(0).cast("long").alias("char_count_continuous"),
+        *counted("word", "w", F.size("w")),
+        # how many there are is known without making them, which costs most and is then left out where they only count
+        *counted("bigram", "w2", F.greatest(F.size("w") - 1, F.lit(0))),
+        *counted("trigram", "w3", F.greatest(F.size("w") - 2, F.lit(0))),
+        *counted("sentence", "s", F.size("s")),
         (F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + F.length(x)) / F.nullif(F.size("s"), F.lit(0))).alias("average_sentence_length"),
         F.when(F.size("w") > 0, F.least(F.lit(100.0), F.size("w") * 1.25 / tokens * 100)).alias("tokenizability"),
     )

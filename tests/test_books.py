@@ -259,3 +259,14 @@ def test_fingerprints_are_worked_out_side_by_side(monkeypatch):
     assert S.simhashes(odd) == want
     monkeypatch.setattr(S, "simhash", None)
     assert S.simhashes([odd[9], odd[6]]) == [want[9], want[6]]
+
+
+def test_counts_make_no_ngrams(spark):
+    """How many n-grams a text has follows from its words; only different ones are made."""
+    from bookweave.functions import text as T
+
+    m = T.metrics(spark.createDataFrame([("a", "One two,\nthree​ four—five. Six?"), ("b", " \n"), ("c", "x")], "barcode string, text string"))
+    plan = m.select("barcode", "bigram_count", "trigram_count")._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws" not in plan and "concat_ws" in m._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in m._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in m.select("bigram_count", "trigram_count", "char_count_continuous").collect()] == [(9, 8, 25), (None, None, 0), (None, None, 1)]
