@@ -11,7 +11,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import release
+
 WORD = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
+#: Characters of texts whose chunks are held at a time.
+HELD = 1 << 20
 ZERO_WIDTH = "​"
 #: Separators of the splitter, best first (fixed values).
 SEPARATORS = ("\n\n", "\n", " ", ".", ",", "​", "，", "、", "．", "。")
@@ -181,7 +185,15 @@ def chunks(books: DataFrame, size: int = 768, least: int = 10) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, i, c) for k, t in zip(b.barcode, b.text, strict=True) for i, c in enumerate(split_text(t or "", size)) if len(c) >= least]
-            yield pd.DataFrame(rows, columns=["barcode", "chunk_number", "chunk"])
+            rows, held = [], 0
+            for k, t in zip(b.barcode, b.text, strict=True):
+                rows += [(k, i, c) for i, c in enumerate(split_text(t or "", size)) if len(c) >= least]
+                held += len(t or "")
+                if held >= HELD:
+                    yield pd.DataFrame(rows, columns=["barcode", "chunk_number", "chunk"])
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=["barcode", "chunk_number", "chunk"])
+            release()
 
     return books.select("barcode", "text").mapInPandas(cut, "barcode string, chunk_number int, chunk string")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import Scratch, bounded, remove, shared_folder  # noqa: F401 - what the operators share
-from ..session import ship
+from ..session import release, ship  # noqa: F401
 
 #: A word is a run of characters other than space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,19 +51,6 @@ def free(name: str, df: DataFrame) -> str:
     return name
 
 
-def release() -> None:
-    """Give memory back that a Python worker holds but does not use; workers live on between tasks."""
-    pa.default_memory_pool().release_unused()
-    if _libc is not None:
-        _libc.malloc_trim(0)
-
-
-try:
-    _libc = ctypes.CDLL("libc.so.6")
-except OSError:  # another C library
-    _libc = None
-
-
 def pieces(spark: SparkSession, df: DataFrame, per_piece: int) -> int:
     """In how many pieces to cut what is made from df, by the size Spark knows of it."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 
@@ -33,3 +35,16 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(target))
     sc._bookweave_shipped = True
+
+
+def release() -> None:
+    """Give memory back that a Python worker holds but does not use; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _libc = None

@@ -291,3 +291,21 @@ def test_means_are_rounded_as_in_sql(spark):
     want = duckdb.connect().execute("SELECT round(unnest(?::DOUBLE[]), 6)", [[a / n for a, n in pairs] + [None]]).fetchall()
     assert [r.x for r in got] == [x for x, in want]
     assert got[pairs.index((641.0, 640.0))].x == 1.001562
+
+
+def test_chunks_are_sent_by_bounded_pieces():
+    """A batch of long texts is not held as one frame of all its chunks."""
+    import pandas as pd
+    from bookweave.functions import text as T
+
+    class Books:
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, cut, _):
+            return list(cut(iter([pd.DataFrame({"barcode": list("abcdef"), "text": ["word " * 120_000] * 4 + [None, "a last one here"]})])))
+
+    frames = T.chunks(Books())
+    assert len(frames) == 3 and max(f.chunk.str.len().sum() for f in frames) < 2 * T.HELD
+    whole = pd.concat(frames)
+    assert whole.groupby("barcode").chunk.count().to_dict() == {k: len(T.split_text("word " * 120_000, 768)) for k in "abcd"} | {"f": 1}
